@@ -62,11 +62,16 @@ def named_label(column: Column, names: Mapping[int, str]) -> Column:
     return F.coalesce(named, text)
 
 
-def is_missing(column: Column, data_type: DataType) -> Column:
-    """NULL, or NaN where the type has one (``isnan`` on text raises on malformed values)."""
+def without_nan(column: Column, data_type: DataType) -> Column:
+    """The column with NaN as NULL, where its type has NaN (``isnan`` on text may raise)."""
     if isinstance(data_type, (DoubleType, FloatType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
+        return F.nanvl(column, F.lit(None).cast(data_type))
+    return column
+
+
+def is_missing(column: Column, data_type: DataType) -> Column:
+    """NULL or NaN."""
+    return without_nan(column, data_type).isNull()
 
 
 def share(part: Column, whole: Column) -> Column:

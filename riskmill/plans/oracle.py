@@ -282,7 +282,7 @@ def _slots(source, numeric, unknown_slots=True):
     parts = [f"SELECT '{c}' AS feature, round(sum({c}), 2) AS total FROM {source}" for c in numeric]
     for c in LOANS.categorical if unknown_slots else ():
         parts.append(
-            f"SELECT '{c}=' || {c}, CAST(count(*) AS DOUBLE) FROM {source} GROUP BY {c}"
+            f"SELECT '{c}=' || {c} AS feature, CAST(count(*) AS DOUBLE) AS total FROM {source} GROUP BY {c}"
         )
         parts.append(f"SELECT '{c}=__unknown', 0e0")
     return " UNION ALL ".join(parts)

@@ -7,6 +7,7 @@ fractions are rounded, since their last digits depend on the order of addition.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml import Pipeline
 from pyspark.ml.stat import Summarizer
@@ -17,7 +18,7 @@ from riskmill.operators import (
     clean, correlation, curves, dedup, encode, metrics, models, ordering, profile, relevance,
     report, split,
 )
-from riskmill.session import cut_lineage, scratch_path
+from riskmill.session import cut_lineage, scratch_path, tune
 from riskmill.sources import tables
 from riskmill.sources.loans import raw_loans
 from riskmill.spec import LOANS
@@ -33,7 +34,11 @@ def registered() -> dict[str, Query]:
 
 
 def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
+    @wraps(function)
+    def run(spark, sf):
+        return function(tune(spark), sf)
+
+    _QUERIES[function.__name__] = run
     return function
 
 
@@ -678,7 +683,11 @@ SMALL = {
 
 
 def _parts(spark, sf):
-    parts = split.stratified_split(prepared(spark, sf), LABEL, KEY)
+    """Train, validation and test rows, written once: fitting reads them many times."""
+    path = scratch_path(spark, "model-rows")
+    rows = split.stratified_split(prepared(spark, sf), LABEL, KEY)
+    rows.write.partitionBy("split").parquet(path)
+    parts = tables.read_table(spark, path, "parquet")
     train, val, test = (parts.filter(F.col("split") == name) for name in split.PARTS)
     return split.add_class_weights(train, LABEL), val, test
 

@@ -8,6 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Java leaves methods above 8000 bytes to its interpreter. With this limit Spark splits the code
+# of a wide stage into small methods instead of generating one that never gets compiled.
+WIDE_STAGE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings for wide tables on a session made elsewhere."""
+    for name, value in WIDE_STAGE_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def get_session(app_name: str = "riskmill", **conf: str) -> SparkSession:
     """Session with adaptive execution; master, memory and partitions come from the submit."""
     builder = (
@@ -18,7 +30,7 @@ def get_session(app_name: str = "riskmill", **conf: str) -> SparkSession:
     )
     for name, value in conf.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

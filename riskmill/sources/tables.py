@@ -23,7 +23,11 @@ def read_table(
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, quote='"', escape='"', multiLine=multi_line)
+        # An empty field is NULL and a quoted empty field is empty text: the reader tells them
+        # apart only if the text that stands for NULL is not itself empty.
+        reader = reader.options(
+            header=True, quote='"', escape='"', multiLine=multi_line, nullValue="\u0000"
+        )
         if schema is None:
             reader = reader.option("inferSchema", True)
     if schema is not None:
