@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
+from pyspark.sql.types import BinaryType, DataType, DoubleType, FloatType, TimestampType
 
 
 def parse_unit_suffix(column: Column, unit: str, data_type: str = "int") -> Column:
@@ -74,6 +74,17 @@ def is_missing(column: Column, data_type: DataType) -> Column:
     return without_nan(column, data_type).isNull()
 
 
+def as_text(column: Column, data_type: DataType) -> Column:
+    """Text that is equal exactly when the values are equal."""
+    if isinstance(data_type, (DoubleType, FloatType)):
+        column = column + F.lit(0).cast(data_type)  # -0.0 equals 0.0
+    elif isinstance(data_type, TimestampType):
+        column = F.unix_micros(column)  # local times repeat when clocks go back
+    elif isinstance(data_type, BinaryType):
+        column = F.hex(column)
+    return column.cast("string")
+
+
 def share(part: Column, whole: Column) -> Column:
     """Part over whole as a double, NULL when there is nothing to divide by."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

@@ -70,7 +70,11 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
 
     With a class missing the curve is the diagonal (0, 0), (1, 1).
     """
-    running = running_counts(df, label, score)
+    return roc_from(running_counts(df, label, score))
+
+
+def roc_from(running: DataFrame) -> DataFrame:
+    """``roc_points`` from running counts."""
     both = (F.col("positives") > 0) & (F.col("negatives") > 0)
     points = running.filter(both).select(
         "score",
@@ -93,14 +97,19 @@ def pr_points(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Recall is 1 throughout when there is no positive.
     """
-    running = running_counts(df, label, score)
+    return pr_from(running_counts(df, label, score))
+
+
+def pr_from(running: DataFrame) -> DataFrame:
+    """``pr_points`` from running counts."""
     points = running.select(
         "score",
         share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.coalesce(share(F.col("tp"), F.col("positives")), F.lit(1.0)).alias("recall"),
     )
-    start = running.agg(F.lit(None).cast("double").alias("score")).select(
-        "score", F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    start = running.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("score"),
+        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
     )
     return start.unionByName(points)
 
@@ -110,7 +119,11 @@ def curve_areas(df: DataFrame, label: str, score: str) -> DataFrame:
 
     NULL where the curve is undefined because a class is missing.
     """
-    running = running_counts(df, label, score)
+    return areas_from(running_counts(df, label, score))
+
+
+def areas_from(running: DataFrame) -> DataFrame:
+    """``curve_areas`` from running counts."""
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     precision = tp / (tp + fp)
     precision_before = F.coalesce(F.try_divide(tp - pos, (tp - pos) + (fp - neg)), precision)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskmill.functions.columns import is_missing, named_label, share
+from riskmill.functions.columns import as_text, is_missing, named_label, share
 
 
 def _rows(structs: Sequence[Column]) -> Column:
@@ -20,12 +20,23 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def distinct_count(df: DataFrame, names: Sequence[str], approx: bool = False) -> DataFrame:
-    """Distinct values per column, NULL not counted; ``approx`` avoids the shuffle of values."""
-    count = F.approx_count_distinct if approx else F.count_distinct
-    totals = df.agg(*[count(F.col(c)).alias(c) for c in names])
-    return totals.select(_rows([
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in names
-    ]))
+    """Distinct values per column, NULL not counted.
+
+    Exact counts shuffle the distinct (column, value) pairs of all columns at once, after a
+    map-side combine; ``approx`` shuffles one sketch per task and column.
+    """
+    if approx:
+        totals = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names])
+        return totals.select(_rows([
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in names
+        ]))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    texts = df.select(*[as_text(F.col(c), types[c]).alias(c) for c in names])
+    return (
+        texts.unpivot([], list(names), "column", "value")
+        .groupBy("column", "value").agg(F.count("*").alias("n"))
+        .groupBy("column").agg(F.count("value").alias("n_distinct"))
+    )
 
 
 def summary_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:

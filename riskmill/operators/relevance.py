@@ -9,18 +9,17 @@ from pyspark.sql.types import FractionalType, NumericType
 
 from riskmill.functions.columns import guarded_corr, is_missing, share
 from riskmill.operators.ordering import union_by_name
-from riskmill.operators.profile import null_profile, rate_by
+from riskmill.operators.profile import distinct_count, null_profile, rate_by
 from riskmill.spec import TableSpec
 
 
 def column_signals(df: DataFrame, spec: TableSpec, exact: bool = False) -> DataFrame:
     """Per usable column: missing share, distinct values, uniqueness and r with the label.
 
-    One scan. Distinct counts are approximate unless ``exact``, which shuffles the values
-    of every column. Uniqueness is the distinct share of whole numbers and text; fractional
+    One scan, or two with ``exact`` distinct counts, which shuffle the distinct values of
+    every column. Uniqueness is the distinct share of whole numbers and text; fractional
     numbers are all but unique by nature and get none.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     fields = [
         f for f in df.schema.fields if f.name != spec.label and f.name not in spec.leakage
     ]
@@ -28,28 +27,37 @@ def column_signals(df: DataFrame, spec: TableSpec, exact: bool = False) -> DataF
     for f in fields:
         c = F.col(f.name)
         predictor = isinstance(f.dataType, NumericType) and f.name not in spec.non_predictors
+        r = guarded_corr(c, F.col(spec.label)) if predictor else F.lit(None).cast("double")
         stats += [
-            F.count_if(is_missing(c, f.dataType)).alias(f"m_{f.name}"),
-            distinct(c).alias(f"d_{f.name}"),
-            (guarded_corr(c, F.col(spec.label)) if predictor else F.lit(None).cast("double"))
-            .alias(f"r_{f.name}"),
+            F.count_if(is_missing(c, f.dataType)).alias(f"m_{f.name}"), r.alias(f"r_{f.name}"),
         ]
+        if not exact:
+            stats.append(F.approx_count_distinct(c).alias(f"d_{f.name}"))
     row = df.agg(F.count("*").alias("_rows"), *stats)
 
     def entry(f):
-        missing, values = F.col(f"m_{f.name}"), F.col(f"d_{f.name}")
-        uniqueness = share(values, F.col("_rows") - missing)
-        if isinstance(f.dataType, FractionalType):
-            uniqueness = F.lit(0.0)
         return F.struct(
             F.lit(f.name).alias("feature"),
-            share(missing, F.col("_rows")).alias("null_share"),
-            values.alias("n_distinct"),
-            F.coalesce(uniqueness, F.lit(0.0)).alias("uniqueness"),
+            F.col("_rows").alias("n_rows"),
+            F.col(f"m_{f.name}").alias("n_missing"),
             F.round(F.col(f"r_{f.name}"), 4).alias("correlation"),
+            F.lit(isinstance(f.dataType, FractionalType)).alias("fractional"),
+            (F.lit(None).cast("bigint") if exact else F.col(f"d_{f.name}")).alias("n_distinct"),
         )
 
-    return row.select(F.inline(F.array(*[entry(f) for f in fields])))
+    signals = row.select(F.inline(F.array(*[entry(f) for f in fields])))
+    if exact:
+        distinct = distinct_count(df, [f.name for f in fields])
+        signals = signals.drop("n_distinct").join(
+            distinct.withColumnRenamed("column", "feature"), "feature"
+        )
+    uniqueness = share(F.col("n_distinct"), F.col("n_rows") - F.col("n_missing"))
+    return signals.select(
+        "feature", share(F.col("n_missing"), F.col("n_rows")).alias("null_share"), "n_distinct",
+        F.when(F.col("fractional"), 0.0).otherwise(F.coalesce(uniqueness, F.lit(0.0)))
+        .alias("uniqueness"),
+        "correlation",
+    )
 
 
 def feature_relevance(
@@ -66,8 +74,9 @@ def feature_relevance(
     signals = column_signals(df, spec, exact).select(
         "feature", "correlation", emptiness.alias("emptiness"),
         F.when(constant, "constant")
-        .when(F.col("null_share") >= F.col("uniqueness"), "missing values")
-        .otherwise("nearly unique").alias("weakness"),
+        .when(F.col("null_share") > 0.5, "mostly missing")
+        .when(F.col("uniqueness") > 0.5, "nearly unique")
+        .otherwise("weak signal").alias("weakness"),
     )
     most = signals.filter(F.col("correlation").isNotNull()).select(
         F.lit("most").alias("kind"), "feature", F.abs("correlation").alias("measure"),

@@ -331,8 +331,8 @@ def _relevance():
         " CASE WHEN r < 0 THEN 'falls with it' ELSE 'rises with it' END AS reason, 0e0 AS tie"
         " FROM signals WHERE r IS NOT NULL UNION ALL"
         " SELECT 'least', feature, CASE WHEN d <= 1 THEN 1e0 ELSE greatest(empty, uniq) END,"
-        " CASE WHEN d <= 1 THEN 'constant' WHEN empty >= uniq THEN 'missing values'"
-        " ELSE 'nearly unique' END, coalesce(abs(r), 0) FROM signals)"
+        " CASE WHEN d <= 1 THEN 'constant' WHEN empty > 0.5 THEN 'mostly missing'"
+        " WHEN uniq > 0.5 THEN 'nearly unique' ELSE 'weak signal' END, coalesce(abs(r), 0) FROM signals)"
         " SELECT kind, feature, round(measure, 6) AS measure, reason, CAST(position AS INTEGER)"
         " AS position FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY measure DESC,"
         " tie, feature) AS position FROM ranked) WHERE position <= 7"

@@ -24,6 +24,7 @@ class TableSpec:
     summary: Sequence[str] = ()
     recommended: Sequence[str] = ()
     recommended_categorical: Sequence[str] = ()
+    ordered_rate_columns: Sequence[str] = ()
     rate_columns: Sequence[str] = ()
     histogram_columns: Sequence[str] = ()
     matrix_columns: Sequence[str] = ()
@@ -97,6 +98,7 @@ LOANS = TableSpec(
         "int_rate", "term", "dti", "annual_inc", "delinq_2yrs", "inq_last_6mths", "revol_util",
     ),
     recommended_categorical=("grade",),
+    ordered_rate_columns=("grade", "term"),
     rate_columns=(
         "home_ownership", "purpose", "verification_status", "emp_length", "sub_grade",
     ),
