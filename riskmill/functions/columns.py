@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import BinaryType, DataType, DoubleType, FloatType, TimestampType
+from pyspark.sql.types import (
+    BinaryType, BooleanType, DataType, DoubleType, FloatType, IntegralType, TimestampType,
+)
 
 
 def parse_unit_suffix(column: Column, unit: str, data_type: str = "int") -> Column:
@@ -74,15 +76,19 @@ def is_missing(column: Column, data_type: DataType) -> Column:
     return without_nan(column, data_type).isNull()
 
 
-def as_text(column: Column, data_type: DataType) -> Column:
-    """Text that is equal exactly when the values are equal."""
-    if isinstance(data_type, (DoubleType, FloatType)):
-        column = column + F.lit(0).cast(data_type)  # -0.0 equals 0.0
+def comparable(column: Column, data_type: DataType) -> list[Column]:
+    """The value as (whole, real, text), two of them NULL, so that columns of any type can
+    share one grouping. Equal exactly when the values are equal."""
+    whole, real, text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(data_type, (IntegralType, BooleanType)):
+        whole = column.cast("bigint")
     elif isinstance(data_type, TimestampType):
-        column = F.unix_micros(column)  # local times repeat when clocks go back
-    elif isinstance(data_type, BinaryType):
-        column = F.hex(column)
-    return column.cast("string")
+        whole = F.unix_micros(column)  # local times repeat when clocks go back
+    elif isinstance(data_type, (DoubleType, FloatType)):
+        real = column.cast("double")
+    else:
+        text = F.hex(column) if isinstance(data_type, BinaryType) else column.cast("string")
+    return [whole, real, text]
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -1,4 +1,8 @@
-"""Pearson correlations, each set of columns in a single aggregate."""
+"""Pearson correlations of many columns in one scan.
+
+Columns become rows before the map-side aggregate. Its code then stays small and compiled for
+any number of columns, and only one row per task and column is shuffled.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskmill.functions.columns import guarded_corr
 from riskmill.operators.clean import require_complete
+from riskmill.operators.reshape import long_form
 
 
 def correlation_with_target(
@@ -26,12 +31,11 @@ def correlation_with_target(
         column = F.col(name).cast("double")
         return F.coalesce(column, F.lit(0.0)) if nulls == "zero" else column
 
-    row = df.agg(*[guarded_corr(value(c), value(label)).alias(c) for c in names])
+    values = df.select(value(label).alias("_label"), *[value(c).alias(c) for c in names])
+    r = F.round(guarded_corr(F.col("value"), F.col("_label")), digits)
     return (
-        row.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.round(F.col(c), digits).alias("correlation"))
-            for c in names
-        ])))
+        values.unpivot("_label", list(names), "feature", "value")
+        .groupBy("feature").agg(r.alias("correlation"))
         .filter(F.col("correlation").isNotNull())
         .orderBy(F.abs("correlation").desc(), "feature")
     )
@@ -40,22 +44,22 @@ def correlation_with_target(
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson r of every pair of columns, as rows (row_name, col_name, r).
 
-    Rows that lack any of the columns are skipped. A constant column gives NULL.
+    Rows that lack any of the columns are skipped. A constant column gives NULL, and a table
+    without complete rows gives no rows.
     """
     present = [c for c in names if c in df.columns]
     values = require_complete(df.select(*[F.col(c).cast("double").alias(c) for c in present]), present)
-    pairs = list(combinations_with_replacement(range(len(present)), 2))
-    moments = values.agg(
-        *[F.covar_pop(present[i], present[j]).alias(f"c_{i}_{j}") for i, j in pairs],
-        *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(present)],
-    )
-
-    def entry(i, j):
-        low, high = min(i, j), max(i, j)
-        r = F.try_divide(F.col(f"c_{low}_{high}"), F.col(f"s_{i}") * F.col(f"s_{j}"))
-        return F.struct(
-            F.lit(present[i]).alias("row_name"), F.lit(present[j]).alias("col_name"), r.alias("r")
-        )
-
-    n = range(len(present))
-    return moments.select(F.inline(F.array(*[entry(i, j) for i in n for j in n])))
+    chosen = list(combinations_with_replacement(present, 2))
+    groups = {str(i): (F.col(a), F.col(b)) for i, (a, b) in enumerate(chosen)}
+    pairs = long_form(values, groups, ["x", "y"], "pair")
+    r = pairs.groupBy("pair").agg(guarded_corr(F.col("x"), F.col("y")).alias("r"))
+    # Each pair is measured once and named in both directions.
+    names_of = F.create_map(*[
+        item
+        for i, (a, b) in enumerate(chosen)
+        for item in (F.lit(str(i)), F.array(*[
+            F.struct(F.lit(p).alias("row_name"), F.lit(q).alias("col_name"))
+            for p, q in sorted({(a, b), (b, a)})
+        ]))
+    ])
+    return r.select(F.inline(F.try_element_at(names_of, F.col("pair"))), "r")

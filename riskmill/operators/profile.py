@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskmill.functions.columns import as_text, is_missing, named_label, share
+from riskmill.functions.columns import comparable, is_missing, named_label, share
+from riskmill.operators.reshape import long_form
 
 
 def _rows(structs: Sequence[Column]) -> Column:
@@ -31,11 +32,14 @@ def distinct_count(df: DataFrame, names: Sequence[str], approx: bool = False) ->
             F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in names
         ]))
     types = {f.name: f.dataType for f in df.schema.fields}
-    texts = df.select(*[as_text(F.col(c), types[c]).alias(c) for c in names])
+    values = long_form(
+        df, {c: comparable(F.col(c), types[c]) for c in names}, ["whole", "real", "text"], "column"
+    )
+    present = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
     return (
-        texts.unpivot([], list(names), "column", "value")
-        .groupBy("column", "value").agg(F.count("*").alias("n"))
-        .groupBy("column").agg(F.count("value").alias("n_distinct"))
+        values.groupBy("column", "whole", "real", "text").agg(F.count("*").alias("n"))
+        .groupBy("column")
+        .agg(F.count_if(present).alias("n_distinct"))
     )
 
 

@@ -10,42 +10,41 @@ from pyspark.sql.types import FractionalType, NumericType
 from riskmill.functions.columns import guarded_corr, is_missing, share
 from riskmill.operators.ordering import union_by_name
 from riskmill.operators.profile import distinct_count, null_profile, rate_by
+from riskmill.operators.reshape import long_form
 from riskmill.spec import TableSpec
 
 
 def column_signals(df: DataFrame, spec: TableSpec, exact: bool = False) -> DataFrame:
     """Per usable column: missing share, distinct values, uniqueness and r with the label.
 
-    One scan, or two with ``exact`` distinct counts, which shuffle the distinct values of
-    every column. Uniqueness is the distinct share of whole numbers and text; fractional
-    numbers are all but unique by nature and get none.
+    One scan with columns as rows, or two with ``exact`` distinct counts, which shuffle the
+    distinct values of every column. Uniqueness is the distinct share of whole numbers and
+    text; fractional numbers are all but unique by nature and get none.
     """
     fields = [
         f for f in df.schema.fields if f.name != spec.label and f.name not in spec.leakage
     ]
-    stats = []
-    for f in fields:
+
+    def measures(f):
         c = F.col(f.name)
         predictor = isinstance(f.dataType, NumericType) and f.name not in spec.non_predictors
-        r = guarded_corr(c, F.col(spec.label)) if predictor else F.lit(None).cast("double")
-        stats += [
-            F.count_if(is_missing(c, f.dataType)).alias(f"m_{f.name}"), r.alias(f"r_{f.name}"),
-        ]
-        if not exact:
-            stats.append(F.approx_count_distinct(c).alias(f"d_{f.name}"))
-    row = df.agg(F.count("*").alias("_rows"), *stats)
-
-    def entry(f):
-        return F.struct(
-            F.lit(f.name).alias("feature"),
-            F.col("_rows").alias("n_rows"),
-            F.col(f"m_{f.name}").alias("n_missing"),
-            F.round(F.col(f"r_{f.name}"), 4).alias("correlation"),
-            F.lit(isinstance(f.dataType, FractionalType)).alias("fractional"),
-            (F.lit(None).cast("bigint") if exact else F.col(f"d_{f.name}")).alias("n_distinct"),
+        return (
+            F.lit(isinstance(f.dataType, FractionalType)),
+            is_missing(c, f.dataType),
+            (c if predictor else F.lit(None)).cast("double"),
+            F.when(c.isNotNull(), F.xxhash64(c)),
         )
 
-    signals = row.select(F.inline(F.array(*[entry(f) for f in fields])))
+    values = long_form(
+        df, {f.name: measures(f) for f in fields}, ["fractional", "missing", "value", "hash"],
+        keep={"label": F.col(spec.label).cast("double")},
+    )
+    signals = values.groupBy("feature", "fractional").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if("missing").alias("n_missing"),
+        F.round(guarded_corr(F.col("value"), F.col("label")), 4).alias("correlation"),
+        F.approx_count_distinct("hash").alias("n_distinct"),
+    )
     if exact:
         distinct = distinct_count(df, [f.name for f in fields])
         signals = signals.drop("n_distinct").join(

@@ -601,8 +601,15 @@ def best_threshold(spark, sf):
 MODELS = {"planted": "score", "rate": "rate_score"}
 
 
+def _stored_split(rows, name):
+    """Rows with their part, written once in the shared folder: what follows reads them often."""
+    path = scratch_path(rows.sparkSession, name)
+    split.stratified_split(rows, LABEL, KEY).write.partitionBy("split").parquet(path)
+    return tables.read_table(rows.sparkSession, path, "parquet")
+
+
 def _evaluations(spark, sf, tuned, part="test"):
-    rows = split.stratified_split(scored(spark, sf), LABEL, KEY)
+    rows = _stored_split(scored(spark, sf), "scored-rows")
     train, val = (rows.filter(F.col("split") == name) for name in ("train", "val"))
     target = rows.filter(F.col("split") == part)
     results = []
@@ -683,11 +690,7 @@ SMALL = {
 
 
 def _parts(spark, sf):
-    """Train, validation and test rows, written once: fitting reads them many times."""
-    path = scratch_path(spark, "model-rows")
-    rows = split.stratified_split(prepared(spark, sf), LABEL, KEY)
-    rows.write.partitionBy("split").parquet(path)
-    parts = tables.read_table(spark, path, "parquet")
+    parts = _stored_split(prepared(spark, sf), "model-rows")
     train, val, test = (parts.filter(F.col("split") == name) for name in split.PARTS)
     return split.add_class_weights(train, LABEL), val, test
 
