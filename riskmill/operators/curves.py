@@ -189,7 +189,7 @@ def threshold_sweep(
             handleInvalid="keep",
         )
         .transform(values)
-        .groupBy(F.col("gap").cast("int").alias("gap"))
+        .groupBy(F.coalesce(F.col("gap").cast("int"), F.lit(0)).alias("gap"))
         .agg(
             F.count_if(F.col("positive")).alias("pos"), F.count_if(~F.col("positive")).alias("neg")
         )
@@ -197,12 +197,12 @@ def threshold_sweep(
     steps = df.sparkSession.range(1).select(
         F.posexplode(F.lit([float("-inf"), *grid])).alias("gap", "threshold")
     )
-    # One row per threshold: the window needs no partitions and the broadcast is bounded.
+    # At most one row per gap on both sides: small enough to broadcast and for one task.
     reached = Window.orderBy(F.col("gap").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     everything = reached.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counts = gaps.join(F.broadcast(steps), "gap", "right").select(
+    counts = steps.join(F.broadcast(gaps), "gap", "left").select(
         "gap", "threshold",
         F.sum(F.coalesce("pos", F.lit(0))).over(reached).alias("tp"),
         F.sum(F.coalesce("neg", F.lit(0))).over(reached).alias("fp"),

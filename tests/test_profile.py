@@ -152,7 +152,7 @@ def test_sorts_and_limits(spark):
 def test_relevance_reasons(spark):
     df = spark.range(200).selectExpr(
         "id AS id", "id % 7 AS member_id", "int(id % 2) AS default_ind", "1 AS fixed",
-        "IF(id % 10 = 0, 'x', NULL) AS gaps", "concat('u', id) AS unique_text",
+        "IF(id % 5 = 0, concat('x', id % 2), NULL) AS gaps", "concat('u', id) AS unique_text",
         "double(id % 2) + id / 1000D AS signal", "id % 3 AS weak",
     )
     found = relevance.feature_relevance(df, LOANS, k=4, notes={"signal": "follows it"}).collect()
