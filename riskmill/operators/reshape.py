@@ -22,7 +22,8 @@ def long_form(
         for g, columns in groups.items()
         for slot, column in zip(slots[g], columns)
     ]
-    choices = ", ".join(f"({', '.join(slots[g])}) AS `{g}`" for g in groups)
+    quoted = {g: g.replace("`", "``").replace("{", "{{").replace("}", "}}") for g in groups}
+    choices = ", ".join(f"({', '.join(slots[g])}) AS `{quoted[g]}`" for g in groups)
     return df.sparkSession.sql(
         f"SELECT * FROM {{flat}} UNPIVOT INCLUDE NULLS"
         f" (({', '.join(values)}) FOR `{name}` IN ({choices}))",

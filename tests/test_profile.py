@@ -48,6 +48,11 @@ def test_distinct_counts_of_any_type(spark):
     assert dict(rows(profile.distinct_count(df, ["i", "s"], approx=True))) == {"i": 1, "s": 2}
 
 
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x")], ["a {b} 'c'", "e f"])
+    assert dict(rows(profile.distinct_count(df, df.columns))) == {"a {b} 'c'": 2, "e f": 1}
+
+
 def test_rates_keep_null_categories_and_labels(spark):
     df = spark.createDataFrame(
         [("x", 1), ("x", 0), (None, 1), ("y", None), ("y", 0)], "g string, y int"
