@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import mixing
+from riskmill.llm import mixing, quality, toxicity
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,39 @@ def op1_mix_sources(spark, sf_dir):
     )
 
 
+def _part(key: str, parts: int):
+    """The remainder that sets rows aside from learning."""
+    return F.crc32(F.col(key).cast("string")) % parts
+
+
+def toxicity_model(spark, sf_dir, docs):
+    labels = table(spark, sf_dir, "labels").filter(_part("doc_id", 5) != 0)
+    return toxicity.fit_toxicity(docs, labels)
+
+
+def quality_model(spark, sf_dir, docs):
+    labels = table(spark, sf_dir, "labels").filter(_part("doc_id", 4) != 2)
+    return quality.fit_quality(docs, labels)
+
+
+@_query
+def op2_toxicity(spark, sf_dir):
+    """Every document with its probability of being toxic."""
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity.toxicity_score(toxicity_model(spark, sf_dir, docs), F.col("text"))
+    scored = docs.select("doc_id", F.coalesce(_part("doc_id", 5) == 0, F.lit(False)).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@_query
+def op3_quality(spark, sf_dir):
+    """Every document with its probability of being of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    score = quality.quality_score(quality_model(spark, sf_dir, docs), F.col("text"))
+    scored = docs.select("doc_id", F.coalesce(_part("doc_id", 4) == 2, F.lit(False)).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
