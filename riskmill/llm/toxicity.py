@@ -170,7 +170,7 @@ def _swaps(terms: np.ndarray, kept: np.ndarray, groups) -> list:
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", *,
-    rows: int = 8000, features: int = 6_000_000, least_texts: int = 3, groups=IDENTITY_TERMS, **fit,
+    rows: int = 8000, features: int = 3_000_000, least_texts: int = 3, groups=IDENTITY_TERMS, **fit,
 ) -> ToxicityModel:
     """A model from the labelled rows of `labels`, whose texts are in `docs`."""
     sample = labels.filter(F.col(label).isin(0, 1)).select(
@@ -184,13 +184,13 @@ def fit_toxicity(
     if not fitting.any():
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
     last = int(widths.draw[fitting].max())
-    data = found.filter(F.col("draw") <= last).select("y", "f.features", "f.terms").toPandas()
-    y = data.y.to_numpy(float)
+    data = found.filter(F.col("draw") <= last).select("y", "f.features", "f.terms").toArrow()
+    y = np.asarray(data["y"].combine_chunks(), float)
     if y.min() == y.max():
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 30.0 if y.max() == 1 else -30.0)
-    lengths = data.features.map(len).to_numpy()
-    row = np.repeat(np.arange(len(y)), lengths)
-    hashes = np.concatenate(data.features.to_list()).astype(np.int64).view(np.uint64)
+    lists = data["features"].combine_chunks()
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.asarray(lists.value_lengths()))
+    hashes = np.asarray(lists.flatten()).view(np.uint64)
     kept, column, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     toxic = np.bincount(column, y[row], len(kept))
     # A feature that is no likelier in toxic texts would get weight zero.
@@ -198,7 +198,7 @@ def fit_toxicity(
     number = np.cumsum(useful) - 1
     inside = useful[column]
     row, column, kept = row[inside], number[column[inside]], kept[useful]
-    terms = np.concatenate([np.asarray(t, int) for t in data.terms] or [np.zeros(0, int)])
+    terms = np.asarray(data["terms"].combine_chunks().flatten(), int)
     w, b = fit_weights(row, column, y, len(kept), _swaps(terms, kept, groups), **fit)
     return ToxicityModel(kept[w > 0], w[w > 0], float(b))
 
