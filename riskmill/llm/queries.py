@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import mixing, quality, toxicity
+from riskmill.llm import mixing, quality, topk, toxicity, vectors
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,19 @@ def op3_quality(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@_query
+def op4_near_vectors(spark, sf_dir):
+    """Every vector with its links at a cosine of 0.95 or more, and the group that they make."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@_query
+def op6_nearest_vectors(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one, by integer inner product."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.nearest(rows, "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
@@ -108,6 +121,21 @@ SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN target - epochs * source_size > 0
                                AND upto - size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM summed""",
+    "op6_nearest_vectors": """
+WITH parts AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)])::BIGINT AS score
+  FROM parts q JOIN parts c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM scores
+)
+SELECT * FROM ranked WHERE rank <= 5""",
 }
 
 

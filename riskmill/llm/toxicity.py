@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from riskmill.llm.store import stored
-from riskmill.llm.text import NOT_WORD, SLICE, Words, joined, mixed, slices
+from riskmill.llm.text import NOT_WORD, SLICE, Words, joined, slices
 
 #: Terms that name groups of people; within a row each can stand for any other.
 IDENTITY_TERMS = (
