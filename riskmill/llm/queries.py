@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import mixing, quality, topk, toxicity, vectors
+from riskmill.llm import lm, mixing, quality, topk, toxicity, vectors
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,14 @@ def op4_near_vectors(spark, sf_dir):
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+@_query
+def op5_lm_scores(spark, sf_dir):
+    """Every document with its log10 probability by single words and by the backoff automaton."""
+    held_out = F.coalesce(_part("doc_id", 7) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents")
+    return lm.lm_scores(docs, "doc_id", "text", ~held_out).withColumn("held_out", held_out)
+
+
 @_query
 def op6_nearest_vectors(spark, sf_dir):
     """The five nearest vectors of every fiftieth one, by integer inner product."""
