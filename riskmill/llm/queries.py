@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import lm, mixing, quality, topk, toxicity, vectors
+from riskmill.llm import lm, mixing, quality, topk, toxicity, vectors, warc
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,16 @@ def op6_nearest_vectors(spark, sf_dir):
     return topk.nearest(rows, "vec_id", "embedding", F.col("vec_id") % 50 == 0)
 
 
+@_query
+def op7_warc(spark, sf_dir):
+    """Every page as the archives hold it, after writing them and reading them back."""
+    folder = warc.archive_folder(spark, "archive")
+    stored(warc.write_archive(table(spark, sf_dir, "pages"), "page_id", "url", "html", folder))
+    return warc.read_archive(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
@@ -144,6 +154,18 @@ WITH parts AS (
   FROM scores
 )
 SELECT * FROM ranked WHERE rank <= 5""",
+    "op7_warc": """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM firsts""",
 }
 
 
