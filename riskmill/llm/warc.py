@@ -181,17 +181,21 @@ def write_archive(
     dealt = decided.unionByName(records).withColumn("shard", shard_of("key"))
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(f"{root}/_temporary", recursive=True)
-    return dealt.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "key", "kind", "digest").mapInArrow(
+    return dealt.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "key", "kind", "digest").mapInArrow(
         _written(folder, file_bytes), "shard int, file string, bytes long, records long, sha256 string"
     )
 
 
 def _records(data: bytes) -> Iterator[tuple[dict, bytes]]:
     """Header fields and block of each gzip member."""
-    while data:
-        unpack = zlib.decompressobj(31)
-        whole = unpack.decompress(data) + unpack.flush()
-        data = unpack.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpack, parts = zlib.decompressobj(31), []
+        while not unpack.eof:  # in steps, since what a step leaves over is copied
+            parts.append(unpack.decompress(view[at : at + 8192]))
+            at += min(8192, len(view) - at)
+        at -= len(unpack.unused_data)
+        whole = b"".join(parts)
         head, _, rest = whole.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
