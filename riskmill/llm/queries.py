@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import lm, mixing, quality, topk, toxicity, vectors, warc
+from riskmill.llm import lm, mixing, packing, quality, topk, toxicity, vectors, warc
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,13 @@ def op7_warc(spark, sf_dir):
     )
 
 
+@_query
+def op8_pack(spark, sf_dir):
+    """Every piece of a document with its place in a sequence of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, "doc_id", "text", packing.tokenizer_path("byte_bpe_50k.json"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
