@@ -18,6 +18,7 @@ Rules: a NULL text is empty and packs as its end mark alone; repeated rows and N
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskmill.llm.ranks import ranked
 from riskmill.llm.store import stored
+from riskmill.llm.text import slices
 
 #: Words whose tokens a task remembers.
 REMEMBERED = 400_000
@@ -40,35 +42,39 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    """Token ids as little-endian bytes, by word: a byte-level tokenizer whose words begin with their
-    space never joins two words, unless white space of another kind stands before that space."""
+    """Token ids as little-endian bytes, word by word.
+
+    A byte-level tokenizer begins a word with the space before it and joins no two words, unless white
+    space of another kind stands before that space. So a text is the sum of its words, of which most
+    have been met before; new ones are encoded together.
+    """
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use all cores
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end], "<u4").tobytes()
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if "  " in text or "<|" in text:
-            return self._ids(text) + self.end
-        first, *rest = text.split(" ")
-        known, out = self.known, []
-        for word in [first, *[" " + w for w in rest]]:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._ids(word)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(word) <= 64:
-                    known[word] = ids
-            out.append(ids)
-        out.append(self.end)
-        return b"".join(out)
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and the end mark."""
+        cut = [None if "  " in t or "<|" in t else t.split(" ") for t in texts]
+        cut = [w and [w[0], *[" " + x for x in w[1:]]] for w in cut]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(set().union(*(w for w in cut if w)) - self.known.keys())
+        self.known.update(zip(new, self._ids(new)))
+        whole = iter(self._ids([t for t, w in zip(texts, cut) if w is None]))
+        done = [next(whole) if w is None else b"".join(map(self.known.__getitem__, w)) for w in cut]
+        for word in new:
+            if len(word) > 64:
+                del self.known[word]
+        return [d + self.end for d in done]
 
 
 def _pieces(path: str, end: int, capacity: int, with_ids: bool):
@@ -77,16 +83,14 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
         names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
+            for part in slices(batch, "text"):
                 rows = []
-                part = batch.slice(at, 512)
-                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    data = encoder.encode(text or "")
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                for key, data in zip(part.column("id").to_pylist(), encoder.encode(texts)):
                     n = len(data) // 4
                     head = n % capacity or capacity
-                    starts = [0, *range(head, n, capacity)]
-                    for k, start in enumerate(starts):
-                        length = head if k == 0 else capacity
+                    for k, start in enumerate([0, *range(head, n, capacity)]):
+                        length = capacity if k else head
                         ids = data[4 * start : 4 * (start + length)]
                         rows.append((key, k, start, length, zlib.crc32(ids)) + (ids,) * with_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
