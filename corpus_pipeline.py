@@ -1,7 +1,74 @@
-"""From raw documents to packed sequences, stage by stage."""
-STAGES = []
+"""From raw documents to packed sequences: five stages, each stored before the next one reads it.
+
+Each stage takes (spark, docs, sf_dir) and all documents that the one before kept; all but the last return
+the columns of documents. Learned stages take their labels from the tables in sf_dir.
+
+Rules: a document that a classifier rejects goes; NULL and empty texts are classified like others. Of
+each group of near-duplicates the document with the smallest id stays; rows without an id have no
+group and stay; rows repeated under one id become one. A document that the mix takes several times
+is there as often, and one that it does not take goes.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from riskmill.llm import mixing, packing, shingles
+from riskmill.llm.quality import quality_score
+from riskmill.llm.queries import quality_model, toxicity_model
+from riskmill.llm.store import shared_folder
+from riskmill.llm.toxicity import toxicity_score
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    return docs.filter(toxicity_score(toxicity_model(spark, sf_dir, docs), F.col("text")) < 0.5)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality."""
+    return docs.filter(quality_score(quality_model(spark, sf_dir, docs), F.col("text")) >= 0.7)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links."""
+    groups = shingles.similar_documents(docs, "doc_id", "text", n=5, percent=80)
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    text = F.col("text")
+    mixed = mixing.mix_documents(docs, "doc_id", "source", mixing.word_count(text), mixing.text_quality(text))
+    return mixing.mixed_rows(mixed, docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, with their places in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, "doc_id", "text", packing.tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality classifier", quality),
+    ("n-gram jaccard join", near_duplicates),
+    ("mixing sources", mix),
+    ("best-fit packing", pack),
+]
+
+#: Learned stages and tokens have no SQL; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for number, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
+    return docs
