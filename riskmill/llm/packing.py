@@ -18,9 +18,10 @@ Rules: a NULL text is empty and packs as its end mark alone; repeated rows and N
 
 from __future__ import annotations
 
-import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,52 +42,62 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class SpacedWords(dict):
+    """The ids of words with a space before them, as little-endian bytes; encoded when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(" " + word)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Token ids as little-endian bytes, word by word.
 
     A byte-level tokenizer begins a word with the space before it and joins no two words, unless white
     space of another kind stands before that space. So a text is the sum of its words, of which most
-    have been met before; new ones are encoded together.
+    have been met before.
     """
 
-    def __init__(self, path: str, end: int):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use all cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and the end mark."""
-        cut = [None if "  " in t or "<|" in t else t.split(" ") for t in texts]
-        cut = [w and [w[0], *[" " + x for x in w[1:]]] for w in cut]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*(w for w in cut if w)) - self.known.keys())
-        self.known.update(zip(new, self._ids(new)))
-        whole = iter(self._ids([t for t, w in zip(texts, cut) if w is None]))
-        done = [next(whole) if w is None else b"".join(map(self.known.__getitem__, w)) for w in cut]
-        for word in new:
-            if len(word) > 64:
-                del self.known[word]
-        return [d + self.end for d in done]
+        self.known = SpacedWords(self._ids)
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if "  " in text or "<|" in text:
+            return self._ids(text)
+        words = text.split(" ")
+        return self._ids(words[0]) + b"".join(map(self.known.__getitem__, words[1:]))
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
 
 
 def _pieces(path: str, end: int, capacity: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, end)
+        last = array("I", [end]).tobytes()
         names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for key, data in zip(part.column("id").to_pylist(), encoder.encode(texts)):
+                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                    data = encoder(path).encode(text or "") + last
                     n = len(data) // 4
                     head = n % capacity or capacity
                     for k, start in enumerate([0, *range(head, n, capacity)]):
