@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import lm, mixing, packing, quality, shingles, topk, toxicity, vectors, warc
+from riskmill.llm import licenses, lm, mixing, packing, quality, shingles, topk, toxicity, vectors, warc
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,12 @@ def op8_pack(spark, sf_dir):
     return packing.pack_documents(docs, "doc_id", "text", packing.tokenizer_path("byte_bpe_50k.json"))
 
 
+@_query
+def op9_licenses(spark, sf_dir):
+    """Every license notice in a document, with its place and how it differs from the usual wording."""
+    return licenses.license_notices(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @_query
 def op10_similar_documents(spark, sf_dir):
     """Every document with the size of its set of word triples and its group at a Jaccard of 0.9."""
