@@ -5,9 +5,11 @@ A document's set holds the hashes of its distinct word n-grams. Documents with e
 Which sets meet is decided exactly. Two sets that reach the similarity differ in at most d elements,
 where d follows from their size; sizes fall into classes whose neighbours differ by the similarity, and
 each set takes part in the scheme of its own class and of the next larger one. A scheme cuts the range of
-hashes into d + 1 segments; by the pigeonhole principle two similar sets agree on a whole segment. The key
-of a segment is a digest of its elements, so sets that share only a passage do not meet. Groups with
-the same members become one.
+hashes into d + 1 + k segments; by the pigeonhole principle two similar sets agree on k + 1 whole ones. A
+set leaves out its k smallest segments: those on which two sets agree are in the same order in both, so the
+largest of them is left in both. The key of a segment is a digest of its elements, so sets that share
+only a passage do not meet, and empty segments bring nobody together. Groups with the same members
+become one.
 
 Within a group the sets, in the global order of their hashes, stand in a prefix tree. A set is looked up
 by walking the tree: the overlap up to a node is shared by all sets below it, and a subtree is left when
@@ -76,13 +78,16 @@ class Schemes:
         for c in (own, own + 1):
             if not self.differ[c]:
                 continue  # only equal sets are that similar
-            parts = int(self.differ[c]) + 1
+            spare = 1 + int(self.differ[c]) // 4
+            parts = int(self.differ[c]) + 1 + spare
             part = ((elements >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
             sums = np.zeros(parts, np.uint64)
             sums[part[first].astype(np.int64)] = np.add.reduceat(values, first)
-            name = mixed(np.arange(parts, dtype=np.uint64) + np.uint64(c << 40))
-            found.append(mixed(sums ^ name) + name)
+            held = np.bincount(part.astype(np.int64), minlength=parts)
+            kept = np.argsort(held, kind="stable")[spare:].astype(np.uint64)
+            name = mixed(kept + np.uint64(c << 40))
+            found.append(mixed(sums[kept.astype(np.int64)] ^ name) + name)
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -112,31 +117,31 @@ def _segments(n: int, percent: int, ranges: int):
         schemes, spread = Schemes(percent), np.uint64((1 << 64) // ranges + 1)
 
         def told(keys, classes):
-            keys, classes = np.concatenate(keys), np.concatenate(classes)
+            place = np.repeat(np.arange(len(keys), dtype=np.uint16), [len(k) for k in keys])
+            keys, table = np.concatenate(keys), np.array(classes, np.int64).tobytes()
             order = np.argsort(keys)
-            keys, classes = keys[order], classes[order]
+            keys, place = keys[order], place[order]
             cuts = np.searchsorted((keys // spread).astype(np.int64), np.arange(ranges + 1))
             for r, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r]), pa.array([keys[a:b].tobytes()], pa.binary()),
-                         pa.array([classes[a:b].tobytes()], pa.binary())], ["range", "keys", "classes"],
+                        [pa.array([r])] + [pa.array([d], pa.binary()) for d in (keys[a:b].tobytes(), place[a:b].tobytes(), table)],
+                        ["range", "keys", "places", "classes"],
                     )
 
         keys, classes, held, seen = [], [], 0, set()
         for batch in batches:
             for part in slices(batch, "text"):
                 for s in shingle_sets(part.column("text"), n):
-                    if not len(s) or (c := class_of(s)) in seen:
+                    if not len(s) or (c := class_of(s)) in seen or not len(k := schemes.keys(s)):
                         continue
                     seen.add(c)
-                    k = schemes.keys(s)
                     keys.append(k)
-                    classes.append(np.full(len(k), c))
+                    classes.append(c)
                     held += len(k)
-                if held > 1 << 20:
-                    yield from told(keys, classes)
-                    keys, classes, held, seen = [], [], 0, set()
+                    if held > 1 << 20 or len(classes) > 60_000:
+                        yield from told(keys, classes)
+                        keys, classes, held, seen = [], [], 0, set()
         if held:
             yield from told(keys, classes)
 
@@ -147,7 +152,10 @@ def _groups(key: tuple, rows: pa.Table) -> pa.Table:
     """Of one hash range: the members of each segment that several classes share. Groups with equal
     members get the same number."""
     keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"].to_pylist()])
-    classes = np.concatenate([np.frombuffer(c, np.int64) for c in rows["classes"].to_pylist()])
+    classes = np.concatenate([
+        np.frombuffer(c, np.int64)[np.frombuffer(p, np.uint16)]
+        for c, p in zip(rows["classes"].to_pylist(), rows["places"].to_pylist())
+    ])
     order = np.argsort(keys, kind="stable")
     keys, classes = keys[order], classes[order]
     shared = np.zeros(len(keys), bool)
@@ -329,7 +337,7 @@ def similar_documents(
         F.min("id").alias("rep"), F.first("n").alias("n")
     )
     groups = rows.filter("id IS NOT NULL").select("text").mapInArrow(
-        _segments(n, percent, ranges), "range long, keys binary, classes binary"
+        _segments(n, percent, ranges), "range long, keys binary, places binary, classes binary"
     ).groupBy("range").applyInArrow(_groups, "group long, class long, members long").distinct()
     members = stored(groups.join(classes, "class"))
     pool = stored(rows.mapInArrow(_compressed, "id long, data binary").join(
