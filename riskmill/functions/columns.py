@@ -96,17 +96,26 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
+#: Stands for NULL in a hashed key.
+NULL_KEY = "\x00null"
+
+
 def unit_hash(keys: list[str], seed: int, salt: str = "") -> Column:
     """Uniform number in [0, 1) fixed by the key, whatever the partitioning or retries.
 
-    Rows with equal keys get equal numbers, so copies stay on one side of a split.
+    Rows with equal keys get equal numbers, so copies stay on one side of a split. NULL is a
+    value of its own at its place in the key.
     """
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(f"{seed}{salt}"))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)) for k in keys]
+    text = F.concat_ws("|", *parts, F.lit(f"{seed}{salt}"))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def guarded_corr(left: Column, right: Column) -> Column:
-    """Pearson r over complete pairs; NULL for a constant, where ``corr`` raises under ANSI."""
-    x = F.when(right.isNotNull(), left.cast("double"))
-    y = F.when(left.isNotNull(), right.cast("double"))
+    """Pearson r over complete pairs, NaN counted as missing; NULL for a constant, where
+    ``corr`` raises under ANSI."""
+    nothing = F.lit(None).cast("double")
+    left, right = (F.nanvl(c.cast("double"), nothing) for c in (left, right))
+    x = F.when(right.isNotNull(), left)
+    y = F.when(left.isNotNull(), right)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

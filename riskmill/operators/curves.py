@@ -179,8 +179,10 @@ def threshold_sweep(
             "SELECT 0D AS threshold, 0L AS tp, 0L AS fp, 0L AS fn, 0D AS precision,"
             " 0D AS recall, 0D AS f1 WHERE false"
         )
-    values = df.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull()).select(
-        (F.col(label) == 1).alias("positive"), F.col(score).cast("double").alias("score")
+    # NaN reaches every threshold, as it does in a comparison; NULL reaches none.
+    value = F.nanvl(F.col(score).cast("double"), F.lit(float("inf")))
+    values = df.filter(F.col(label).isin(0, 1)).select(
+        (F.col(label) == 1).alias("positive"), F.coalesce(value, F.lit(float("-inf"))).alias("score")
     )
     # The gap number is how many thresholds the score reaches.
     gaps = (

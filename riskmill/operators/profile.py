@@ -161,13 +161,14 @@ def histogram_by_label(
 ) -> DataFrame:
     """Counts per column, class and equal-width bin, over all rows with label 0 or 1.
 
-    The classes share a column's range unless ``per_class``. Empty bins have no row. The
-    ranges come from a scalar subquery with one entry per column and class.
+    The classes share a column's range unless ``per_class``. Empty bins have no row. NaN and
+    infinite values have no bin and are left out like NULL. The ranges come from a scalar
+    subquery with one entry per column and class.
     """
     columns = [names] if isinstance(names, str) else list(names)
     labelled = df.filter(F.col(label).isin(0, 1)).select(
         F.col(label).cast("int").alias("label"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
+        *[F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")).alias(c) for c in columns],
     )
     in_class = F.col("label") == 1
     classes = [("0", ~in_class), ("1", in_class)] if per_class else [("", None)]

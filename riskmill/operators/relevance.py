@@ -50,7 +50,8 @@ def column_signals(df: DataFrame, spec: TableSpec, exact: bool = False) -> DataF
         signals = signals.drop("n_distinct").join(
             distinct.withColumnRenamed("column", "feature"), "feature"
         )
-    uniqueness = share(F.col("n_distinct"), F.col("n_rows") - F.col("n_missing"))
+    # An approximate count can exceed the rows; a column of missing values is missing, not constant.
+    uniqueness = F.least(share(F.col("n_distinct"), F.col("n_rows") - F.col("n_missing")), F.lit(1.0))
     return signals.select(
         "feature", share(F.col("n_missing"), F.col("n_rows")).alias("null_share"), "n_distinct",
         F.when(F.col("fractional"), 0.0).otherwise(F.coalesce(uniqueness, F.lit(0.0)))
@@ -68,7 +69,7 @@ def feature_relevance(
     Most relevant is the largest absolute r. Least relevant is what carries nothing: a
     constant, or else the larger of missing share and uniqueness; ties by smaller r.
     """
-    constant = F.col("n_distinct") <= 1
+    constant = (F.col("n_distinct") == 1) & (F.col("null_share") < 1)
     emptiness = F.when(constant, 1.0).otherwise(F.greatest("null_share", "uniqueness"))
     signals = column_signals(df, spec, exact).select(
         "feature", "correlation", emptiness.alias("emptiness"),

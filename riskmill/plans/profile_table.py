@@ -48,6 +48,7 @@ def profile_table(
     if report.first()["rows_removed"] > 0:
         unique = _stored(dedup.dedup_by_key(raw, spec.key), f"{output}/data/unique")
         repeated = dedup.duplicate_keys(raw, spec.key)
+        write_parquet_table(repeated, f"{output}/data/duplicate_keys")
         save("duplicate_keys_sample", repeated.orderBy(spec.key).limit(5))
     report.unpersist()
 

@@ -385,7 +385,7 @@ def cleaning_funnel(spark, sf):
     raw = raw_loans(spark, sf)
     unique = dedup.dedup_by_key(raw, KEY, order_by=[LOANS.entity])
     target = clean.drop_null_target(unique, LABEL)
-    complete = clean.clean_table(unique, LOANS, sparse=["sparse_col"])
+    complete = clean.clean_table(unique, LOANS)
     return profile.cleaning_funnel([
         ("raw", raw), ("unique_key", unique), ("labelled", target), ("core_complete", complete),
     ])
@@ -682,52 +682,46 @@ def model_summary(spark, sf):
 
 # Models, at small settings
 
-SMALL = {
-    "logistic": {"maxIter": 10},
-    "forest": {"numTrees": 10, "maxDepth": 5},
-    "boosting": {"maxIter": 5, "maxDepth": 3},
-}
-
-
 def _parts(spark, sf):
     parts = _stored_split(prepared(spark, sf), "model-rows")
     train, val, test = (parts.filter(F.col("split") == name) for name in split.PARTS)
     return split.add_class_weights(train, LABEL), val, test
 
 
-def _scored_test(spark, sf, kind):
-    train, _, test = _parts(spark, sf)
-    model, _ = models.train_classifier(train, LOANS, kind, **SMALL[kind])
-    return _rounded(models.score(model, test, [KEY, LABEL]), "score")
+def _scored(spark, sf, kind):
+    """Validation and test rows, scored by a fit at the default settings."""
+    train, val, test = _parts(spark, sf)
+    model, _ = models.train_classifier(train, LOANS, kind)
+    return _rounded(models.score(model, val.unionByName(test), [KEY, LABEL, "split"]), "score")
 
 
 @_query
 def train_logistic(spark, sf):
-    return _scored_test(spark, sf, "logistic")
+    return _scored(spark, sf, "logistic")
 
 
 @_query
 def train_random_forest(spark, sf):
-    return _scored_test(spark, sf, "forest")
+    return _scored(spark, sf, "forest")
 
 
 @_query
 def train_gbt(spark, sf):
-    return _scored_test(spark, sf, "boosting")
+    return _scored(spark, sf, "boosting")
 
 
 @_query
 def fit_with_search(spark, sf):
     train, _, _ = _parts(spark, sf)
-    search = models.Search({"regParam": [0.001, 0.1]}, folds=2, fold_key=[KEY])
-    _, results = models.train_classifier(train, LOANS, "logistic", search, maxIter=5)
+    search = models.search_preset("logistic", "small", fold_key=[KEY])
+    _, results = models.train_classifier(train, LOANS, "logistic", search)
     return _rounded(results, "value")
 
 
 @_query
 def feature_importance(spark, sf):
     train, _, _ = _parts(spark, sf)
-    forest = models.train_random_forest(train, LOANS, **SMALL["forest"])
+    forest = models.train_random_forest(train, LOANS)
     return _rounded(models.feature_importance(forest, train, LOANS), "importance")
 
 
@@ -735,8 +729,8 @@ def feature_importance(spark, sf):
 def compare_models(spark, sf):
     train, val, test = _parts(spark, sf)
     plain, tuned = [], []
-    for kind, params in SMALL.items():
-        model, _ = models.train_classifier(train, LOANS, kind, **params)
+    for kind in models.CLASSIFIERS:
+        model, _ = models.train_classifier(train, LOANS, kind)
         best = curves.best_threshold(
             curves.threshold_sweep(models.score(model, val, [LABEL]), LABEL, "score")
         )

@@ -28,12 +28,13 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 def _model_rows(
     df: DataFrame, spec: TableSpec, output: str, fraction: float
 ) -> DataFrame:
-    """Prepared rows, one folder per split."""
+    """Prepared rows, one folder per split. ``fraction`` samples the training rows alone."""
     require_columns(df, [spec.key, *spec.raw_columns])
     rows = clean.prepare_features(df, spec, keep=[spec.key])
-    if fraction < 1.0:
-        rows = clean.sample_rows(rows, fraction, by_key=[spec.key])
     parts = split.stratified_split(rows, spec.label, spec.key)
+    if fraction < 1.0:
+        train = clean.sample_rows(parts.filter("split = 'train'"), fraction, by_key=[spec.key])
+        parts = parts.filter("split <> 'train'").unionByName(train)
     path = f"{output}/data/model_rows"
     parts.write.mode("overwrite").partitionBy("split").parquet(path)
     return read_table(df.sparkSession, path, "parquet")
@@ -41,7 +42,7 @@ def _model_rows(
 
 def train_models(
     spark: SparkSession, source: str, output: str, spec: TableSpec = LOANS, fmt: str = "parquet",
-    fraction: float = 1.0, search: bool = False, metric: str = "areaUnderPR",
+    fraction: float = 1.0, search: bool = False, preset: str = "full", metric: str = "areaUnderPR",
     undersample: float | None = None, step: float = curves.SWEEP_STEP,
     kinds: Sequence[str] = tuple(models.CLASSIFIERS),
     params: Mapping[str, Mapping] | None = None,
@@ -69,10 +70,10 @@ def train_models(
         write_result(df, f"{output}/tables/{name}")
 
     for kind in kinds:
-        preset = models.search_preset(kind, fraction, metric=metric, fold_key=[spec.key])
+        grid = models.search_preset(kind, preset, metric=metric, fold_key=[spec.key])
         model, results = models.train_classifier(
             train, spec, kind, preparation=preparations[kind == "logistic"],
-            search=(searches or {}).get(kind, preset if search else None),
+            search=(searches or {}).get(kind, grid if search else None),
             **(params or {}).get(kind, {}),
         )
         model.write().overwrite().save(f"{output}/models/{kind}")
@@ -144,6 +145,7 @@ def main() -> None:
     parser.add_argument("output")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--fraction", type=float, default=1.0)
+    parser.add_argument("--preset", choices=sorted(models.PRESETS), default="full")
     parser.add_argument("--search", action="store_true")
     parser.add_argument("--metric", choices=models.SEARCH_METRICS, default="areaUnderPR")
     parser.add_argument("--undersample", type=float)
@@ -153,7 +155,7 @@ def main() -> None:
     args = parser.parse_args()
     train_models(
         get_session("riskmill-train"), args.source, args.output, fmt=args.format,
-        fraction=args.fraction, search=args.search, metric=args.metric,
+        fraction=args.fraction, search=args.search, preset=args.preset, metric=args.metric,
         undersample=args.undersample, step=args.threshold_step, kinds=args.kinds,
     )
 

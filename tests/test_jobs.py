@@ -39,7 +39,7 @@ def test_training_results(spark, output):
     search = {"logistic": queries.models.Search({"regParam": [0.01, 0.1]}, folds=2, fold_key=["id"])}
     tuned = train_models(
         spark, f"{output}/profile/data/clean", f"{output}/training", kinds=["logistic", "forest"],
-        params=queries.SMALL, searches=search, undersample=5.0,
+        params={"logistic": {"maxIter": 10}, "forest": {"numTrees": 10, "maxDepth": 5}}, searches=search, undersample=5.0,
     )
     rows = {r["model"]: r for r in tuned.collect()}
     assert set(rows) == {"logistic", "forest"}

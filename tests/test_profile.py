@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskmill.operators.correlation import correlation_with_target
+from riskmill.operators.profile import histogram_by_label
 from riskmill.operators import correlation, dedup, ordering, profile, relevance
 from riskmill.spec import LOANS
 
@@ -172,3 +174,14 @@ def test_funnel_shares(spark):
     df = spark.range(10)
     out = rows(profile.cleaning_funnel([("all", df), ("even", df.filter("id % 2 = 0"))]))
     assert out == [(0, "all", 10, 1, 1.0), (1, "even", 5, 1, 0.5)]
+
+
+def test_nan_and_infinity_are_missing_in_histograms_and_correlations(spark):
+    rows = [(0, 1.0, 2.0), (1, 2.0, 4.0), (0, 3.0, 6.5), (1, float("nan"), 1.0), (1, float("inf"), 1.0), (0, None, 1.0)]
+    df = spark.createDataFrame(rows, "label int, x double, y double")
+    bins = histogram_by_label(df, "x", "label", bins=2).collect()
+    assert sum(r.n for r in bins) == 3 and {(r.bin_start, r.bin_end) for r in bins} == {(1.0, 2.0), (2.0, 3.0)}
+    finite = df.filter("x < double('infinity')")
+    r = correlation_with_target(finite, ["x"], "label").collect()
+    plain = correlation_with_target(finite.filter("NOT isnan(x)"), ["x"], "label").collect()
+    assert r == plain
