@@ -60,7 +60,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: Learned stages and tokens have no SQL; the tests hold the stages against plain versions.
+#: Learned stages and tokens have no SQL; the tests hold the operators against plain versions.
 ORACLE_SQL = None
 
 
