@@ -6,10 +6,14 @@ Which sets meet is decided exactly. Two sets that reach the similarity differ in
 where d follows from their size; sizes fall into classes whose neighbours differ by the similarity, and
 each set takes part in the scheme of its own class and of the next larger one. A scheme cuts the range of
 hashes into d + 1 + k segments; by the pigeonhole principle two similar sets agree on k + 1 whole ones. A
-set leaves out its k smallest segments: those on which two sets agree are in the same order in both, so the
-largest of them is left in both. The key of a segment is a digest of its elements, so sets that share
-only a passage do not meet, and empty segments bring nobody together. Groups with the same members
-become one.
+set leaves out its m smallest segments (m < k): those on which two sets agree are in the same order in both,
+so k + 1 - m of them are left in both. The key of a segment is a digest of its elements. Groups with the
+same members become one that counts for all their segments.
+
+A set that shares fewer than k + 1 - m segments of a scheme with all others together has no similar set
+there, and leaves the scheme's groups: so go most sets that share only a passage. What goes takes
+from the counts of others, so this is repeated `rounds` times; any number of rounds keeps every link.
+Groups that have their leading member in common are then joined, so that a set stands in few groups.
 
 Within a group the sets, in the global order of their hashes, stand in a prefix tree. A set is looked up
 by walking the tree: the overlap up to a node is shared by all sets below it, and a subtree is left when
@@ -61,6 +65,10 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     return sets
 
 
+#: The bits of a segment key that hold its scheme.
+SCHEME = np.uint64(511)
+
+
 class Schemes:
     """Size classes and, for each, into how many segments its sets are cut."""
 
@@ -70,24 +78,28 @@ class Schemes:
             sizes.append(max(sizes[-1] + 1, sizes[-1] * 100 // percent))
         self.sizes = np.array(sizes)
         self.differ = 2 * self.sizes * (100 - percent) // (100 + percent)
+        self.spare = 2 + self.differ // 3
+        self.left_out = 1 + self.differ // 8
+        #: Segments that two similar sets share at least in their keys.
+        self.needed = self.spare + 1 - self.left_out
 
     def keys(self, elements: np.ndarray) -> np.ndarray:
-        """The segment keys of a sorted set in its two schemes."""
+        """The segment keys of a sorted set in its two schemes; the last bits tell the scheme."""
         found, own = [], int(np.searchsorted(self.sizes, len(elements)))
         values = mixed(elements)
         for c in (own, own + 1):
             if not self.differ[c]:
                 continue  # only equal sets are that similar
-            spare = 1 + int(self.differ[c]) // 4
-            parts = int(self.differ[c]) + 1 + spare
+            parts = int(self.differ[c]) + 1 + int(self.spare[c])
             part = ((elements >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
             sums = np.zeros(parts, np.uint64)
             sums[part[first].astype(np.int64)] = np.add.reduceat(values, first)
             held = np.bincount(part.astype(np.int64), minlength=parts)
-            kept = np.argsort(held, kind="stable")[spare:].astype(np.uint64)
+            kept = np.argsort(held, kind="stable")[self.left_out[c] :].astype(np.uint64)
             name = mixed(kept + np.uint64(c << 40))
-            found.append(mixed(sums[kept.astype(np.int64)] ^ name) + name)
+            key = mixed(sums[kept.astype(np.int64)] ^ name) + name
+            found.append((key & ~SCHEME) | np.uint64(c))
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -149,8 +161,8 @@ def _segments(n: int, percent: int, ranges: int):
 
 
 def _groups(key: tuple, rows: pa.Table) -> pa.Table:
-    """Of one hash range: the members of each segment that several classes share. Groups with equal
-    members get the same number."""
+    """Of one hash range: the members of each segment that several classes share. Groups of a scheme with
+    equal members become one; `times` is how many they were."""
     keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"].to_pylist()])
     classes = np.concatenate([
         np.frombuffer(c, np.int64)[np.frombuffer(p, np.uint16)]
@@ -170,12 +182,39 @@ def _groups(key: tuple, rows: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
     many = np.diff(first, append=len(keys))
     sums = np.add.reduceat(mixed(classes.view(np.uint64)), first) if len(first) else np.zeros(0, np.uint64)
-    group = mixed(sums + many.astype(np.uint64)).view(np.int64)
-    _, once = np.unique(group, return_index=True)
-    keep = np.zeros(len(first), bool)
-    keep[once] = many[once] > 1
-    keep = np.repeat(keep, many)
-    return pa.table({"group": np.repeat(group, many)[keep], "class": classes[keep], "members": np.repeat(many, many)[keep]})
+    scheme = keys[first] & SCHEME
+    group = mixed(mixed(sums + many.astype(np.uint64)) + scheme).view(np.int64)
+    _, once, times = np.unique(group, return_index=True, return_counts=True)
+    count = np.zeros(len(first), np.int64)
+    count[once] = np.where(many[once] > 1, times, 0)
+    count = np.repeat(count, many)
+    keep = count > 0
+    return pa.table({
+        "group": np.repeat(group, many)[keep], "class": classes[keep],
+        "scheme": np.repeat(scheme.astype(np.int32), many)[keep], "times": count[keep],
+    })
+
+
+def _peeled(groups: DataFrame, needed: np.ndarray, rounds: int) -> DataFrame:
+    """The groups without sets that share too few segments of a scheme to have a similar set in it."""
+    least = F.element_at(F.array(*(F.lit(int(k)) for k in needed)), F.col("scheme") + 1)
+    for _ in range(rounds):
+        enough = groups.groupBy("class", "scheme").agg(F.sum("times").alias("shared")).filter(F.col("shared") >= least)
+        groups = groups.join(enough.select("class", "scheme"), ["class", "scheme"], "left_semi")
+        several = groups.groupBy("group").agg(F.count(F.lit(1)).alias("left")).filter("left > 1").select("group")
+        groups = stored(groups.join(several, "group", "left_semi"))
+    return groups
+
+
+def _merged(groups: DataFrame) -> DataFrame:
+    """Groups with the same leading member, by one order of the sets and then another, become one.
+
+    The many segments of a few much alike sets make many groups with nearly the same members.
+    """
+    for order in (1, 2):
+        lead = groups.groupBy("group").agg(F.min(F.xxhash64("class", F.lit(order))).alias("lead"))
+        groups = groups.join(lead, "group").select(F.col("lead").alias("group"), "class").distinct()
+    return stored(groups)
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +363,7 @@ def _links(members: DataFrame, pool: DataFrame, n: int, percent: int, group_shin
 
 def similar_documents(
     docs: DataFrame, key: str, text: str, *, n: int = 3, percent: int = 90, group_shingles: int = 4_000_000,
-    ranges: int | None = None,
+    ranges: int | None = None, rounds: int = 3,
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (the smallest key that it reaches).
 
@@ -338,8 +377,12 @@ def similar_documents(
     )
     groups = rows.filter("id IS NOT NULL").select("text").mapInArrow(
         _segments(n, percent, ranges), "range long, keys binary, places binary, classes binary"
-    ).groupBy("range").applyInArrow(_groups, "group long, class long, members long").distinct()
-    members = stored(groups.join(classes, "class"))
+    ).groupBy("range").applyInArrow(_groups, "group long, class long, scheme int, times long")
+    groups = stored(groups.groupBy("group", "class").agg(F.sum("times").alias("times"), F.first("scheme").alias("scheme")))
+    groups = _peeled(groups, Schemes(percent).needed, rounds)
+    groups = _merged(groups.select("group", "class"))
+    held = groups.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    members = stored(groups.join(held, "group").join(classes, "class"))
     pool = stored(rows.mapInArrow(_compressed, "id long, data binary").join(
         members.select(F.col("rep").alias("id")).distinct(), "id"
     ).withColumnRenamed("id", "rep"))
