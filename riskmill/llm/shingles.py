@@ -362,7 +362,7 @@ def _links(members: DataFrame, pool: DataFrame, n: int, percent: int, group_shin
 
 
 def similar_documents(
-    docs: DataFrame, key: str, text: str, *, n: int = 3, percent: int = 90, group_shingles: int = 4_000_000,
+    docs: DataFrame, key: str, text: str, *, n: int = 3, percent: int = 90, group_shingles: int = 500_000,
     ranges: int | None = None, rounds: int = 3,
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (the smallest key that it reaches).
