@@ -16,8 +16,9 @@ from the counts of others, so this is repeated `rounds` times; any number of rou
 Groups that have their leading member in common are then joined, so that a set stands in few groups.
 
 Within a group the sets, in the global order of their hashes, stand in a prefix tree. A set is looked up
-by walking the tree: the overlap up to a node is shared by all sets below it, and a subtree is left when
-what remains of its longest set, or of the set looked up, can no longer reach the needed overlap.
+by walking the tree level by level, all open nodes of a level at once: the overlap up to a node is shared by
+all sets below it, and a subtree is left when what remains of its longest set, or of the set looked up, can no
+longer reach the needed overlap.
 Only links between sets that are not connected yet matter: subtrees that hold one component with the
 set are left too, and sets of the largest component need not be looked up. What leaves a group is one
 row per linked set. First every set meets its two largest groups; of all other groups only those that
@@ -226,55 +227,70 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class PrefixTree:
-    """Sets in their global order as paths of a tree that shares beginnings.
+    """Sets in their global order as paths of a tree whose nodes hold `STRIDE` elements each.
 
-    Sets are sorted by their elements; `shared` tells how far each agrees with the one before it, which
-    is where its path leaves the tree.
+    Sets are sorted by their elements, so the sets below a node are neighbours: of each level, `first` and
+    `last` are these for every node, `parent` is its place on the level before, and `part` are its elements.
+    Sets with equal beginnings share nodes and with them the overlap up to there.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.shared = np.zeros(len(sets), np.int64)
+    STRIDE = 32
+
+    def __init__(self, sets: list[np.ndarray], elements: int):
+        """elements: sets hold numbers below it; it stands for no element itself."""
+        self.sets, self.levels = sets, []
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        flat, starts = np.concatenate(sets), np.cumsum(self.sizes) - self.sizes
+        shared = np.zeros(len(sets), np.int64)
         for k, (a, b) in enumerate(zip(sets, sets[1:]), 1):
             m = min(len(a), len(b))
             differ = np.flatnonzero(a[:m] != b[:m])
-            self.shared[k] = differ[0] if len(differ) else m
-
-    def similar(self, x: np.ndarray, mark: np.ndarray, among: np.ndarray, percent: int) -> list[int]:
-        """Which of the sets `among` (ascending places) reach the similarity with x.
-
-        mark: by element, whether x holds it. Subtrees without a set of `among` are not entered.
+            shared[k] = differ[0] if len(differ) else m
+        above = np.zeros(len(sets), np.int64)
+        for depth in range(0, int(self.sizes.max()), self.STRIDE):
+            there = np.flatnonzero(self.sizes > depth)
+            at = np.flatnonzero(shared[there] < depth + self.STRIDE)  # a shorter neighbour shares less as well
+            first, last = there[at], there[np.append(at[1:], len(there)) - 1]
+            places = starts[first, None] + depth + np.arange(self.STRIDE)
+            inside = places < (starts + self.sizes)[first, None]
+            part = np.where(inside, flat[np.minimum(places, len(flat) - 1)], elements).astype(np.int32)
+            end = np.minimum(self.sizes[first], depth + self.STRIDE)
+            self.levels.append((
+                first, last, above[first], part, end, flat[starts[first] + end - 1],
+                np.minimum.reduceat(self.sizes[there], at), np.maximum.reduceat(self.sizes[there], at),
+            ))
+            above[there] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(there))))
+
+    def similar(self, x: np.ndarray, mark: np.ndarray, among: np.ndarray, percent: int) -> np.ndarray:
+        """Which of the sets that `among` marks reach the similarity with x, level by level.
+
+        mark: by element, whether x holds it. Subtrees without a set of `among` are not entered, and those
+        that can no longer reach the overlap they need are left.
         """
-        if not len(among):
-            return []
-        shared = np.minimum.reduceat(np.append(self.shared, 0), np.stack([
-            np.append(0, among[:-1] + 1), among + 1], axis=1).ravel())[::2]
-        shared[0] = 0
-        sizes = [len(self.sets[i]) for i in among]
-        longest, need = max(sizes), -(-percent * (len(x) + min(sizes)) // (100 + percent))
-        found, path, k = [], [(0, 0)], 0
-        while k < len(among):
-            while path[-1][0] > shared[k]:
-                path.pop()
-            depth, overlap = path[-1]
-            elements = self.sets[among[k]]
-            # The nodes of this path that other sets share: where it branches off, and where the next one will.
-            for to in (shared[k], shared[k + 1] if k + 1 < len(among) else 0):
-                if to > depth:
-                    overlap += int(np.count_nonzero(mark[elements[depth:to]]))
-                    depth = int(to)
-                    path.append((depth, overlap))
-            rest = len(x) - int(np.searchsorted(x, elements[depth - 1], "right")) if depth else len(x)
-            if overlap + min(rest, longest - depth) < need:
-                k += 1  # nothing below this node can reach the overlap
-                while k < len(among) and shared[k] >= max(depth, 1):
-                    k += 1
-                continue
-            overlap += int(np.count_nonzero(mark[elements[depth:]]))
-            if 100 * overlap >= percent * (len(x) + len(elements) - overlap):
-                found.append(int(among[k]))
-            k += 1
-        return found
+        before, found = np.append(0, np.cumsum(among)), []
+        nodes, overlap = np.arange(len(self.levels[0][0])), np.zeros(len(self.levels[0][0]), np.int64)
+        for level, (first, last, parent, part, end, final, shortest, longest) in enumerate(self.levels):
+            if level:
+                nodes = np.flatnonzero(overlap[parent] >= 0)
+                overlap = overlap[parent[nodes]]
+            wanted = before[last[nodes] + 1] > before[first[nodes]]
+            nodes, overlap = nodes[wanted], overlap[wanted]
+            if not len(nodes):
+                break
+            overlap = overlap + np.count_nonzero(mark[part[nodes]], axis=1)
+            rest = len(x) - np.searchsorted(x, final[nodes], "right")
+            reach = overlap + np.minimum(rest, longest[nodes] - end[nodes])
+            kept = (100 + percent) * reach >= percent * (len(x) + shortest[nodes])
+            nodes, overlap = nodes[kept], overlap[kept]
+            # The first set below a node can end with it.
+            one = first[nodes]
+            done = among[one] & (self.sizes[one] == end[nodes])
+            done &= (100 + percent) * overlap >= percent * (len(x) + self.sizes[one])
+            found.append(one[done])
+            state = np.full(len(first), -1)
+            state[nodes] = overlap
+            overlap = state
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def linked_components(sets: list[np.ndarray], component: np.ndarray, percent: int) -> np.ndarray:
@@ -283,9 +299,9 @@ def linked_components(sets: list[np.ndarray], component: np.ndarray, percent: in
     cuts = np.cumsum([0, *map(len, sets)])
     local = [place[a:b].astype(np.int32) for a, b in zip(cuts, cuts[1:])]
     order = sorted(range(len(local)), key=lambda i: local[i].astype(">i4").tobytes())
-    tree = PrefixTree([local[i] for i in order])
+    tree = PrefixTree([local[i] for i in order], len(every))
     _, component = np.unique(component[order], return_inverse=True)
-    mark = np.zeros(len(every), bool)
+    mark = np.zeros(len(every) + 1, bool)
     open_sets = np.ones(len(order), bool)  # not looked up yet
     while True:
         sizes = np.bincount(component[open_sets], minlength=len(order))
@@ -296,9 +312,10 @@ def linked_components(sets: list[np.ndarray], component: np.ndarray, percent: in
         open_sets[one] = False
         x = tree.sets[one]
         mark[x] = True
-        among = np.flatnonzero(open_sets & (component != component[one]))
-        for other in tree.similar(x, mark, among, percent):
-            component[component == component[other]] = component[one]
+        among = open_sets & (component != component[one])
+        linked = np.unique(component[tree.similar(x, mark, among, percent)])
+        if len(linked):
+            component[np.isin(component, linked)] = component[one]
         mark[x] = False
     out = np.empty(len(order), np.int64)
     out[order] = component
