@@ -38,8 +38,8 @@ def profile_table(
     if fmt != "parquet":
         raw = _stored(raw, f"{output}/data/raw")
 
-    def save(name: str, df: DataFrame) -> None:
-        write_result(df, f"{output}/tables/{name}")
+    def save(name: str, df: DataFrame, small: bool = True) -> None:
+        write_result(df, f"{output}/tables/{name}", small)
 
     save("table_shape", table_shape(raw))
     report = dedup.duplicate_report(raw, spec.key, spec.entity).persist()
@@ -70,10 +70,11 @@ def profile_table(
 
     for group in spec.ordered_rate_columns:
         if group in cleaned.columns:
-            save(f"rate_by_{group}", profile.rate_by(cleaned, group, spec.label, order="key"))
+            save(f"rate_by_{group}", profile.rate_by(cleaned, group, spec.label, order="key"), small=False)
     rates = profile.rates_for_columns(cleaned, spec.rate_columns, spec.label)
     rates = _stored(rates, f"{output}/data/category_rates")
-    save("rates_by_category", rates.orderBy("column", F.col("rate").desc(), "category"))
+    # As many rows as there are categories: written by all tasks.
+    save("rates_by_category", rates.orderBy("column", F.col("rate").desc(), "category"), small=False)
     save("rates_by_category_top", profile.top_categories(rates).orderBy("column", "position"))
 
     numeric = clean.columns_by_type(cleaned, exclude=spec.non_predictors)
