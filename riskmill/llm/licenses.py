@@ -2,10 +2,12 @@
 
 Around every cue word a block of text is cut out, as wide as the longest template on both sides; blocks
 that overlap are one. A block is compressed by itself and with each template as raw dictionary; templates
-are ranked by the bytes that they save. The best ones are confirmed by their wording: the template's words
-are aligned with the words of the block, and what is missing, added or exchanged is counted and told. The
-one with the smallest share of differences wins, if that is at most `most_differences`. What lies before
-and after a notice in its block is searched again.
+are tried in the order of the bytes that they save, all of them, whether they save any or not. They are
+confirmed by their wording: the template's words are aligned with the words of the block, and what is
+missing, added or exchanged is counted and told. The one with the smallest share of differences wins, if
+that is at most `most_differences`. Words that the block lacks bound the differences from below, so templates
+that cannot be confirmed or cannot win are left out exactly. What lies before and after a notice in its block
+is searched again.
 
 Each text is worked on by itself in a task, so nothing is shuffled; texts without a cue word are left out by
 a filter before. Blocks that come again in a batch are looked up.
@@ -17,6 +19,7 @@ templates with equal differences the one that saves more bytes wins, then the fi
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -107,19 +110,22 @@ def differences(template: list[str], words: list[str]) -> tuple[int, int, int, l
 class LicenseScanner:
     """Templates as dictionaries of a compressor."""
 
-    def __init__(self, templates: dict[str, tuple[str, ...]], candidates: int, most_differences: float):
-        self.candidates, self.most = candidates, most_differences
+    def __init__(self, templates: dict[str, tuple[str, ...]], most_differences: float):
+        self.most = most_differences
         self.plain = zstandard.ZstdCompressor(level=9)
         self.cue = re.compile(CUE)
         self.templates = []
         for name, texts in sorted(templates.items()):
             for text in texts:
                 words = [w for w, _, _ in worded(text)]
+                if not words:
+                    continue
                 raw = " ".join(words).encode()
                 raw = raw if len(raw) >= 8 else raw + b" " * 8
                 known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.templates.append((name, words, zstandard.ZstdCompressor(level=9, dict_data=known)))
-        self.reach = max(len(" ".join(w)) for _, w, _ in self.templates) * 3 // 2
+                compressor = zstandard.ZstdCompressor(level=9, dict_data=known)
+                self.templates.append((name, words, Counter(words), compressor))
+        self.reach = max(len(" ".join(w)) for _, w, _, _ in self.templates) * 3 // 2
         self.met: dict[str, list] = {}
 
     def blocks(self, text: str) -> list[tuple[int, int]]:
@@ -137,12 +143,21 @@ class LicenseScanner:
                 found.append([a, b])
         return [(a, b) for a, b in found]
 
-    def ranked(self, words: list[str]) -> list[tuple[int, str, list[str]]]:
-        """Templates by the bytes that they save in the words of a block."""
+    def ranked(self, words: list[str]) -> list[tuple[int, str, list[str], int]]:
+        """Templates that the words of a block leave possible, by the bytes that they save there; the last
+        number is how many of a template's words the block lacks, each of them a difference."""
+        there = Counter(words)
+        possible = []
+        for name, template, counts, compressor in self.templates:
+            lacking = sum(max(0, n - there[w]) for w, n in counts.items())
+            if lacking / len(template) <= self.most:
+                possible.append((name, template, lacking, compressor))
+        if not possible:
+            return []
         data = " ".join(words).encode()
         alone = len(self.plain.compress(data))
-        saved = [(alone - len(c.compress(data)), name, template) for name, template, c in self.templates]
-        return sorted((s for s in saved if s[0] > 0), key=lambda s: (-s[0], s[1], s[2]))
+        saved = [(alone - len(c.compress(data)), name, template, lacking) for name, template, lacking, c in possible]
+        return sorted(saved, key=lambda s: (-s[0], s[1], s[2]))
 
     def notices(self, block: str) -> list[tuple[int, int, str, int, int, str]]:
         """start, end, license, bytes saved, differences and their wording, for each notice of a block."""
@@ -154,7 +169,9 @@ class LicenseScanner:
                 continue
             words = [w for w, _, _ in part]
             best = None
-            for saved, name, template in self.ranked(words)[: self.candidates]:
+            for saved, name, template, lacking in self.ranked(words):
+                if best is not None and (lacking / len(template), -len(template)) >= best[:2]:
+                    continue
                 number, first, end, told = differences(template, words)
                 share = number / len(template)
                 if share <= self.most and end > first and (best is None or (share, -len(template)) < best[:2]):
@@ -180,13 +197,13 @@ class LicenseScanner:
 
 
 def license_notices(
-    docs: DataFrame, key: str, text: str, *, templates: dict[str, tuple[str, ...]] = TEMPLATES, candidates: int = 6,
+    docs: DataFrame, key: str, text: str, *, templates: dict[str, tuple[str, ...]] = TEMPLATES,
     most_differences: float = 0.15,
 ) -> DataFrame:
     """One row per notice: key, start, end (places in the text), license, bytes_saved, differences, wording."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = LicenseScanner(templates, candidates, most_differences)
+        scanner = LicenseScanner(templates, most_differences)
         names = ["id", "start", "end", "license", "bytes_saved", "differences", "wording"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         for batch in batches:

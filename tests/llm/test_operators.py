@@ -364,6 +364,20 @@ def test_license_notices_equal_an_alignment_with_every_template(spark):
     assert found[7][0][2] == gpl.rstrip(".") and found[9][0][1] == 1
 
 
+def test_license_notices_beside_loose_wordings_are_found(spark):
+    loose = "The code is licensed under the GNU General Public License."
+    texts = [
+        f"{loose} The text is licensed under CC BY 4.0.",
+        f"{loose} Some parts are subject to the Mozilla Public License. Released under the BSD 3-Clause License.",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.license, r.differences, texts[r.doc_id][r.start : r.end]) for r in
+             licenses.license_notices(frame, "doc_id", "text").collect()}
+    assert found == {
+        (0, "CC-BY-4.0", 0, "licensed under CC BY 4.0"), (1, "BSD-3-Clause", 0, "Released under the BSD 3-Clause License"),
+    }
+
+
 def brute_components(texts, n, percent):
     sets = []
     for t in texts:
