@@ -69,7 +69,8 @@ TEMPLATES = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
-CUE = r"(?i)licen[cs]|copyright|redistribut|permission|public domain|warrant|free software"
+#: Words of a cue may be wrapped: whatever the alignment ignores may stand between them.
+CUE = r"(?i)licen[cs]|copyright|redistribut|permission|public[^a-zA-Z0-9]+domain|warrant|free[^a-zA-Z0-9]+software"
 WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
 

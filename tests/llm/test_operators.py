@@ -378,6 +378,17 @@ def test_license_notices_beside_loose_wordings_are_found(spark):
     }
 
 
+@pytest.mark.parametrize("gap", [" ", "\n", "  ", "\n * ", "\r\n//  ", " \t# ", "\u00a0", "\n" + " " * 500])
+def test_license_cues_of_two_words_may_be_wrapped(spark, gap):
+    unlicense = f"This is free and unencumbered software released into the public{gap}domain."
+    loose = f"Take it as FREE{gap}Software"
+    frame = spark.createDataFrame([(1, unlicense), (2, f"Words before.\n{unlicense}\nWords after."), (3, loose)],
+                                  "doc_id long, text string")
+    found = {(r.doc_id, r.license, r.differences) for r in licenses.license_notices(
+        frame, "doc_id", "text", templates={**licenses.TEMPLATES, "loose": ("take it as free software",)}).collect()}
+    assert found == {(1, "Unlicense", 0), (2, "Unlicense", 0), (3, "loose", 0)}
+
+
 def brute_components(texts, n, percent):
     sets = []
     for t in texts:
