@@ -288,6 +288,26 @@ def _slots(source, numeric, unknown_slots=True):
     return " UNION ALL ".join(parts)
 
 
+def _slots_by_part():
+    """Sum of every vector slot by part; the levels are those of the training part."""
+    texts = [
+        f"SELECT split, '{c}' AS feature, round(sum({c}), 2) AS total FROM parts GROUP BY split"
+        for c in LOANS.model_numeric
+    ]
+    for c in LOANS.categorical:
+        levels = f"(SELECT DISTINCT {c} FROM parts WHERE split = 'train')"
+        texts.append(
+            f"SELECT s.split, '{c}=' || l.{c}, CAST(count(p.{c}) AS DOUBLE)"
+            f" FROM (SELECT DISTINCT split FROM parts) s CROSS JOIN {levels} l"
+            f" LEFT JOIN parts p ON p.split = s.split AND p.{c} = l.{c} GROUP BY s.split, l.{c}"
+        )
+        texts.append(
+            f"SELECT split, '{c}=__unknown', CAST(count(*) FILTER (WHERE {c} NOT IN {levels}) AS DOUBLE)"
+            " FROM parts GROUP BY split"
+        )
+    return " UNION ALL ".join(texts)
+
+
 def _indexed():
     ranks = "".join(
         f", idx_{c} AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1"
@@ -562,6 +582,8 @@ def statements() -> dict[str, str]:
         + " FROM prepared, m",
         "feature_pipeline": f"{PREPARED}, train AS (SELECT * FROM prepared WHERE {_hash()} < 0.64)"
         f" {_slots('train', LOANS.model_numeric)}",
+        "feature_pipeline_parts": f"{PREPARED}, parts AS (SELECT *, {SPLIT_CASE} AS split FROM prepared"
+        f" WHERE {LABEL} IN (0, 1)) {_slots_by_part()}",
         "apply_threshold": f"{PAIRS}{_sweep('scored', 'score')} SELECT {KEY}, score,"
         f" {_predicted('score', '(SELECT threshold FROM best)')} AS prediction_tuned FROM scored",
         "confusion_counts": f"{HALF} SELECT * FROM counts",

@@ -478,11 +478,12 @@ def undersample(spark, sf):
 
 # Feature stages
 
-def _slot_sums(vectors):
-    names = encode.feature_names(vectors, LOANS)
-    sums = vectors.select(Summarizer.sum(F.col("features")).alias("sums"))
-    return sums.select(F.posexplode(vector_to_array("sums")).alias("slot", "total")).select(
-        F.get(F.lit(names), F.col("slot")).alias("feature"), F.round("total", 2).alias("total")
+def _slot_sums(vectors, *by, spec=LOANS):
+    """Sum of every vector slot, by part if columns are given."""
+    names = encode.feature_names(vectors, spec)
+    sums = vectors.groupBy(*by).agg(Summarizer.sum(F.col("features")).alias("sums"))
+    return sums.select(*by, F.posexplode(vector_to_array("sums")).alias("slot", "total")).select(
+        *by, F.get(F.lit(names), F.col("slot")).alias("feature"), F.round("total", 2).alias("total")
     )
 
 
@@ -527,6 +528,14 @@ def feature_pipeline(spark, sf):
     return _slot_sums(encode.feature_pipeline(LOANS).fit(train).transform(train))
 
 
+@_query
+def feature_pipeline_parts(spark, sf):
+    """Fitted on the training part, applied to all parts."""
+    parts = split.stratified_split(prepared(spark, sf), LABEL, KEY)
+    train = parts.filter(F.col("split") == "train")
+    return _slot_sums(encode.feature_pipeline(LOANS).fit(train).transform(parts), "split")
+
+
 # Evaluation
 
 @_query

@@ -80,6 +80,7 @@ def train_models(
         if results is not None:
             save(f"search_{kind}", results)
         if kind != "logistic":
+            save(f"feature_importance_all_{kind}", models.feature_importance(model, train, spec, k=None))
             save(f"feature_importance_{kind}", models.feature_importance(model, train, spec))
         keep = [spec.key, spec.label]
         val_scores, test_scores = (

@@ -57,5 +57,8 @@ def test_training_results(spark, output):
     assert table("predictions_sample").count() == min(1000, rows["forest"]["test_rows"])
     roc = spark.read.parquet(f"{output}/training/data/roc_forest")
     assert roc.agg(F.max("tpr"), F.max("fpr")).first()[:] == (1.0, 1.0)
+    whole = table("feature_importance_all_forest").orderBy(F.desc("importance"), "feature").collect()
+    assert len(whole) > 20 and sum(r["importance"] for r in whole) == pytest.approx(1.0)
+    assert whole[:20] == table("feature_importance_forest").orderBy(F.desc("importance"), "feature").collect()
     balance = {r["split"]: r["n_rows"] for r in table("split_balance").collect()}
     assert rows["forest"]["train_rows"] < balance["train"]
