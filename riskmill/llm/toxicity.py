@@ -9,8 +9,9 @@ for each other term of its group. The training penalises the squared change of t
 summed over all these swaps. With presence features the change is the difference between the two
 terms' own weights, so the swaps are counted by term and the penalty is exact.
 
-Bounds: at most `rows` labelled rows, in order of a hash of the id, and of those as many as together
-have `features` features are fitted on the driver. Everything else covers all rows.
+Bounds: at most `rows` labelled rows, in order of a hash of the id, are fitted on the driver, all of them
+whatever their length. Which features can get a weight is decided by Spark; the driver gets only those.
+Everything else covers all rows.
 
 Rules: NULL and empty texts get the score of a text without features. Labels that are NULL are left
 out. Without rows of both classes every score is the share of toxic rows, 0 if there are none.
@@ -153,10 +154,9 @@ def fit_weights(
     return w, b
 
 
-def _swaps(terms: np.ndarray, kept: np.ndarray, groups) -> list:
+def _swaps(counts: np.ndarray, kept: np.ndarray, groups) -> list:
     """For each pair of terms of a group: how many sentences swap one for the other, and their columns."""
     flat, _, group = _terms_of(groups)
-    counts = np.bincount(terms, minlength=len(flat))
     text, feature = word_features(Words(pa.array([t.encode() for t in flat], pa.binary()), NOT_WORD))
     place = np.minimum(np.searchsorted(kept, feature), max(0, len(kept) - 1))
     known = kept[place] == feature if len(kept) else np.zeros(len(feature), bool)
@@ -170,7 +170,7 @@ def _swaps(terms: np.ndarray, kept: np.ndarray, groups) -> list:
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", *,
-    rows: int = 8000, features: int = 3_000_000, least_texts: int = 3, groups=IDENTITY_TERMS, **fit,
+    rows: int = 8000, least_texts: int = 3, groups=IDENTITY_TERMS, **fit,
 ) -> ToxicityModel:
     """A model from the labelled rows of `labels`, whose texts are in `docs`."""
     sample = labels.filter(F.col(label).isin(0, 1)).select(
@@ -179,30 +179,43 @@ def fit_toxicity(
     found = stored(docs.select(key, text).join(F.broadcast(sample), F.col(key) == F.col("sample_key")).select(
         "draw", "y", labelled_features(groups)(F.col(text)).alias("f")
     ))
-    widths = found.select("draw", F.size("f.features").alias("n")).orderBy("draw").toPandas()
-    fitting = widths.n.cumsum() <= features
-    if not fitting.any():
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
-    last = int(widths.draw[fitting].max())
-    data = found.filter(F.col("draw") <= last).select("y", "f.features", "f.terms").toArrow()
+    texts, toxic = found.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if toxic in (0, texts):
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 30.0 if toxic else -30.0)
+    # A feature that is no likelier in toxic texts would get weight zero.
+    useful = found.select("y", F.explode("f.features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("n"), F.sum("y").alias("toxic")
+    ).filter(
+        (F.col("n") >= least_texts) & (F.col("toxic") / F.lit(toxic) > (F.col("n") - F.col("toxic")) / F.lit(texts - toxic))
+    ).select("feature").toArrow()
+    kept = np.sort(np.asarray(useful["feature"].combine_chunks()).view(np.uint64))
+    data = found.select("y", _columns_of(kept)(F.col("f.features")).alias("columns")).toArrow()
     y = np.asarray(data["y"].combine_chunks(), float)
-    if y.min() == y.max():
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 30.0 if y.max() == 1 else -30.0)
-    lists = data["features"].combine_chunks()
+    lists = data["columns"].combine_chunks()
     row = np.repeat(np.arange(len(y), dtype=np.int32), np.asarray(lists.value_lengths()))
-    hashes = np.asarray(lists.flatten()).view(np.uint64)
-    kept, column, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    toxic = np.bincount(column, y[row], len(kept))
-    # A feature that is no likelier in toxic texts would get weight zero.
-    useful = (counts >= least_texts) & (toxic / y.sum() > (counts - toxic) / (1 - y).sum())
-    number = np.cumsum(useful) - 1
-    inside = useful[column]
-    row, column, kept = row[inside], number[column[inside]], kept[useful]
-    terms = np.asarray(data["terms"].combine_chunks().flatten(), int)
-    w, b = fit_weights(row, column, y, len(kept), _swaps(terms, kept, groups), **fit)
+    column = np.asarray(lists.flatten())
+    counts = np.zeros(len(_terms_of(groups)[0]), int)
+    for term, n in found.select(F.explode("f.terms").alias("term")).groupBy("term").count().collect():
+        counts[term] = n
+    w, b = fit_weights(row, column, y, len(kept), _swaps(counts, kept, groups), **fit)
     return ToxicityModel(kept[w > 0], w[w > 0], float(b))
 
 
+def _columns_of(kept: np.ndarray):
+    """A function of feature lists: the places of those features that are kept."""
+
+    @arrow_udf("array<int>")
+    def columns_of(lists: pa.Array) -> pa.Array:
+        feature = np.asarray(lists.flatten()).view(np.uint64)
+        place = np.searchsorted(kept, feature)
+        hit = np.append(kept, np.uint64(0))[place] == feature
+        hit &= place < len(kept)
+        at = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])]
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(place[hit].astype(np.int32)))
+
+    return columns_of
+
+
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     """The model's probability for each text; the model is a bounded list of words."""
 

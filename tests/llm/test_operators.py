@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, LongType, StringType, StructField, StructType
@@ -443,3 +444,17 @@ def test_components_of_a_long_path_and_a_hub(spark):
     found = components.components(spark.createDataFrame(edges, "one long, other long")).collect()
     want = {i: 0 for i in range(201)} | {k: 1000 for k in range(1000, 1300)}
     assert {r.node: r.component_id for r in found} == want and len(found) == len(want)
+
+
+def test_a_very_long_labelled_text_shuts_out_no_other(spark):
+    digits = np.array(list("0123456789abcdefghijklmnopqrstuvwxyz"))
+    number = np.arange(3_100_000)
+    long = " ".join("".join(w) for w in digits[np.stack([number // 36**k % 36 for k in range(5)], axis=1)].tolist())
+    ids = [r.id for r in spark.range(40).orderBy(F.xxhash64("id"), "id").collect()]  # the long one is drawn first
+    texts = {i: ("you vile person" if i % 2 else "a calm person") for i in ids} | {ids[0]: long}
+    toxic = {i: i % 2 for i in ids} | {ids[0]: 0}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(frame, labels)
+    vile, calm = model.scores(pa.array(["you vile person", "a calm person"]))
+    assert vile > 0.5 > calm
