@@ -1,17 +1,15 @@
-"""Language-model scores from a weighted backoff automaton of n-grams.
+"""Language-model scores from a weighted backoff model of n-grams.
 
 The model is smoothed by interpolation: p(w | h) = (1 - backoff) * c(h w) / c(h) + backoff * p(w | h'),
 where h' is h without its first word, down to single words with one added to every count; a history that
-training does not hold leaves p(w | h'). Each n-gram seen in training is an arc with its weight; a state
-that has no arc for the next word fails over to the shorter one at the cost `backoff`. A text is read
-once from left to right; where no arc fits, the failure arcs are taken until one does, and their weights
-are added.
+training does not hold leaves p(w | h'). A backoff automaton with failure arcs of weight `backoff` gives the
+same values. None is built here: every order is looked up and interpolated at all positions of a chunk at once.
 
 The model is as large as the corpus, so no task holds all of it. Texts are read in chunks of about
 `chunk` bytes. A chunk asks for the distinct n-grams that it needs, each with how often its training
 texts hold it; askers of one hash range meet in one task, which adds up the counts and answers every
-chunk in the order of its question. The automaton of a chunk holds just the arcs and states that its
-own texts can reach, with the counts of the whole corpus. Questions are combined within a chunk, so
+chunk in the order of its question. The model of a chunk holds just the n-grams of its own texts, with
+the counts of the whole corpus. Questions are combined within a chunk, so
 that a word or passage in all texts is asked for once per chunk.
 
 Chunks are cut from the rows as they are read, which a re-read of the same files repeats; an answer that
@@ -178,11 +176,11 @@ def automaton_scores(
     grams: list[np.ndarray], at: np.ndarray, words: tuple, longer: tuple, *, tokens: int, types: int, texts: int,
     backoff: float,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """log10 of each text by the automaton and by single words, and its known tokens.
+    """log10 of each text by interpolation, as a backoff automaton gives it, and by single words, and its
+    known tokens.
 
-    words, longer: sorted n-grams with their counts, the arcs that the texts can take. Every text takes
-    its next step in the state of its last n-gram. The weight of the arc is that of the n-gram that was
-    seen plus what the failure arc hands down from the shorter state.
+    words, longer: sorted n-grams with their counts. The probability of each order is that of the n-gram
+    that was seen plus what the shorter history hands down.
     """
     count = [(words if n == 0 else longer) for n in range(len(grams))]
     count = [c[1][np.searchsorted(c[0], g)] for c, g in zip(count, grams)]

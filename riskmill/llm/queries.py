@@ -78,7 +78,7 @@ def op4_near_vectors(spark, sf_dir):
 
 @_query
 def op5_lm_scores(spark, sf_dir):
-    """Every document with its log10 probability by single words and by the backoff automaton."""
+    """Every document with its log10 probability by single words and by the backoff model."""
     held_out = F.coalesce(_part("doc_id", 7) == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents")
     return lm.lm_scores(docs, "doc_id", "text", ~held_out).withColumn("held_out", held_out)
