@@ -7,7 +7,7 @@ words, their beginnings and whole lines are hashed without a loop over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,20 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[p
         at = to
 
 
+def chunks(batches: Iterable[pa.RecordBatch], size: int, column: str = "text") -> Iterator[tuple[int, pa.Table]]:
+    """Runs of rows with about `size` bytes of text, numbered within the partition."""
+    held, held_bytes, number = [], 0, 0
+    for batch in batches:
+        for part in slices(batch, column, size):
+            held.append(part)
+            held_bytes += part.column(column).nbytes
+            if held_bytes >= size:
+                yield number, pa.Table.from_batches(held).combine_chunks()
+                held, held_bytes, number = [], 0, number + 1
+    if held:
+        yield number, pa.Table.from_batches(held).combine_chunks()
+
+
 class Words:
     """Places and hashes of the words of a column of texts; NULL is an empty text.
 
