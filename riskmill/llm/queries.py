@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskmill.llm import licenses, lm, mixing, packing, quality, shingles, topk, toxicity, vectors, warc
+from riskmill.llm import (
+    collocations, licenses, lm, mixing, packing, phrases, quality, repair, shingles, topk, toxicity, vectors, warc,
+)
 from riskmill.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +122,31 @@ def op10_similar_documents(spark, sf_dir):
     return shingles.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@_query
+def op11_decontaminate(spark, sf_dir):
+    """Every document with its words inside ten-word windows of the benchmark, and the items concerned."""
+    index = phrases.build_index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = phrases.phrase_search(index, table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return phrases.contamination(found, "doc_id").select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_query
+def op12_collocations(spark, sf_dir):
+    """The first 2000 phrases of each language by how much oftener their words stand together than apart."""
+    candidates = collocations.collocations(table(spark, sf_dir, "documents"), "text", "lang")
+    return collocations.best_collocations(candidates, 2000)
+
+
+@_query
+def op13_repair_conversations(spark, sf_dir):
+    """Every damaged conversation with its faults and its cheapest repair."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return repair.repair_conversations(rows, "conv_id", "turn", "role", "text", present=F.col("present"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
