@@ -53,32 +53,33 @@ def picked(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Relation:
     """Occurrences of one block, in order of piece and place.
 
-    word: number of each occurrence's word; follows: whether the next occurrence is the next word of the
-    piece; keys, total: of each word; names, name_at: the words' bytes; lang: of each word, a number in
-    langs; longer: for each length from 2, (number of the frequent phrase that begins here or -1; totals).
+    word: number of each occurrence's word, frequent words first; follows: whether the next occurrence is the
+    next word of the piece; total: of each word; names, name_at: the words' bytes; lang: of each word, a number
+    in langs, each with its salt; keys: the words' hashes, which are not packed; longer: for each length from 2, (number of the frequent phrase that begins here or -1; totals).
     """
 
-    def __init__(self, word, follows, keys, total, names, name_at, lang, langs, longer=()):
-        self.word, self.follows, self.keys, self.total = word, follows, keys, total
-        self.names, self.name_at, self.lang, self.langs, self.longer = names, name_at, lang, langs, list(longer)
+    def __init__(self, word, follows, total, names, name_at, lang, langs, longer=()):
+        self.word, self.follows, self.total, self.longer = word, follows, total, list(longer)
+        self.names, self.name_at, self.lang, self.langs = names, name_at, lang, langs
+        salts = np.array([salt for _, salt in langs], np.int64).view(np.uint64)
+        self.keys = joined(salts[lang], Words.of(names).hash(name_at[:-1], name_at[1:]))
 
     def pack(self) -> list[bytes]:
-        out = [tallies.narrow(self.word), tallies.narrow(self.follows), tallies.pack_keys(self.keys),
-               tallies.narrow(self.total), _bytes(self.names.tobytes()), tallies.narrow(self.name_at),
-               tallies.narrow(self.lang), json.dumps(self.langs).encode()]
+        out = [tallies.narrow(self.word), tallies.narrow(self.follows), tallies.narrow(self.total),
+               _bytes(self.names.tobytes()), tallies.narrow(np.diff(self.name_at)), tallies.narrow(self.lang),
+               json.dumps(self.langs).encode()]
         for code, total in self.longer:
             out += [tallies.narrow(code + 1), tallies.narrow(total)]
         return out
 
     @classmethod
     def unpack(cls, data: list[bytes]) -> Relation:
-        word, follows, keys, total, names, name_at, lang, langs = data[:8]
+        word, follows, total, names, sizes, lang, langs = data[:7]
         wide = tallies.wide
-        longer = [(wide(c) - 1, wide(t)) for c, t in zip(data[8::2], data[9::2])]
+        longer = [(wide(c) - 1, wide(t)) for c, t in zip(data[7::2], data[8::2])]
         return cls(
-            wide(word), wide(follows).astype(bool), tallies.unpack_keys(keys), wide(total),
-            np.frombuffer(zstandard.decompress(names), np.uint8), wide(name_at), wide(lang),
-            json.loads(langs), longer,
+            wide(word), wide(follows).astype(bool), wide(total), np.frombuffer(zstandard.decompress(names), np.uint8),
+            np.concatenate([[0], np.cumsum(wide(sizes))]), wide(lang), json.loads(langs), longer,
         )
 
     def level(self, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +102,7 @@ class Relation:
         words, word = np.unique(self.word[at], return_inverse=True)
         name_at, chosen = picked(self.name_at[words], np.diff(self.name_at)[words])
         return Relation(
-            word, follows, self.keys[words], self.total[words], self.names[chosen], name_at, self.lang[words], self.langs,
+            word, follows, self.total[words], self.names[chosen], name_at, self.lang[words], self.langs,
             [(code[at], total) for code, total in self.longer],
         )
 
@@ -120,7 +121,7 @@ def _sizes(langs: pa.Array, counts: np.ndarray):
 def _first_relation(size: int):
     def relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in chunks(batches, size):
-            keys, follows, names, starts, langs, counts = [], [], [], [], [], []
+            keys, follows, names, salted, langs, counts = [], [], [], [], [], []
             for batch in table.to_batches():
                 for part in slices(batch, "text"):
                     words = Words(part.column("text"), BREAK)
@@ -134,24 +135,30 @@ def _first_relation(size: int):
                     names.append(words)
                     counts.append(words.counts)
                     langs.append(part.column("lang"))
-            key = np.concatenate(keys)
-            known, first, word = np.unique(key, return_index=True, return_inverse=True)
+                    salted.append(part.column("salt"))
+            _, first, word, total = np.unique(
+                np.concatenate(keys), return_index=True, return_inverse=True, return_counts=True
+            )
+            order = np.argsort(-total, kind="stable")
+            first, total = first[order], total[order]
             base = np.cumsum([0, *(len(w.data) for w in names)])
             begin = np.concatenate([w.start + b for w, b in zip(names, base)])[first]
             end = np.concatenate([w.end + b for w, b in zip(names, base)])[first]
             name_at, chosen = picked(begin, end - begin)
             folded = np.concatenate([w.data for w in names])[chosen].tobytes().lower()  # of bytes: A-Z alone
             every = pa.chunked_array(langs).combine_chunks().dictionary_encode()
+            salts = pa.chunked_array(salted).combine_chunks()
+            places = [np.flatnonzero(np.asarray(every.indices) == k)[0] for k in range(len(every.dictionary))]
             by_word = np.repeat(np.asarray(every.indices), np.concatenate(counts))[first]
             relation = Relation(
-                word, np.concatenate(follows), known, np.bincount(word, minlength=len(known)),
-                np.frombuffer(folded, np.uint8), name_at, by_word, every.dictionary.to_pylist(),
+                np.argsort(order)[word], np.concatenate(follows), total, np.frombuffer(folded, np.uint8), name_at, by_word,
+                [(l, salts[p].as_py()) for l, p in zip(every.dictionary.to_pylist(), places)],
             )
             names_of, sums = _sizes(every.cast(pa.string()), np.concatenate(counts))
             yield pa.RecordBatch.from_arrays(
                 [table.column("task").combine_chunks()[:1], pa.array([number]), pa.array([relation.pack()], pa.list_(pa.binary())),
                  pa.array([names_of], pa.list_(pa.string())), pa.array([sums], pa.list_(pa.int64())),
-                 pa.array([len(known)])],
+                 pa.array([len(first)])],
                 ["task", "number", "data", "langs", "sizes", "asked"],
             )
 
@@ -164,7 +171,8 @@ def _asks(length: int, parts: int):
             for row in batch.to_pylist():
                 relation = Relation.unpack(row["data"])
                 if length == 1:
-                    keys, counts = relation.keys, relation.total
+                    order = np.argsort(relation.keys)
+                    keys, counts = relation.keys[order], relation.total[order]
                 else:
                     keys, counts = tallies.counted(relation.joined(length)[1])
                 yield from tallies.question(row["task"], row["number"], keys, counts, parts)
@@ -185,7 +193,7 @@ def _found(relation: Relation, keys, first, total, owned, length: int, share: in
     for j, parts in zip(mine.tolist(), cuts.tolist()):
         place = int(first[j])
         out.append({
-            "lang": relation.langs[relation.lang[relation.word[place]]], "key": int(signed[j]),
+            "lang": relation.langs[relation.lang[relation.word[place]]][0], "key": int(signed[j]),
             "phrase": relation.text(place, length), "words": length, "a": int(total[j]), "parts": parts,
         })
     for k in range(2, length):
@@ -219,7 +227,8 @@ def _next_relation(length: int, least: int, share: int, parts: int):
         relation = Relation.unpack(rows["data"][0].as_py())
         found, covered = [], np.zeros(0, np.int64)
         if length == 1:
-            relation.total, _ = tallies.answer(told, relation.keys, parts)
+            order = np.argsort(relation.keys)
+            relation.total[order], _ = tallies.answer(told, relation.keys[order], parts)
             keep = relation.total[relation.word] >= least
         else:
             here, phrase = relation.joined(length)

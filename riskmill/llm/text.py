@@ -100,6 +100,11 @@ class Words:
         self.word_at = np.searchsorted(self.start, self.text_at)
         self._sums: np.ndarray | None = None
 
+    @classmethod
+    def of(cls, data: np.ndarray) -> Words:
+        """Bytes as one text without a word, of which pieces can be hashed."""
+        return cls(pa.array([data.tobytes()], pa.large_binary()), np.ones(256, bool))
+
     @property
     def counts(self) -> np.ndarray:
         """Words of each text."""
