@@ -303,17 +303,21 @@ def collocations(
     )
 
 
-def best_collocations(candidates: DataFrame, report: int, lanes: int = 64) -> DataFrame:
+def best_collocations(candidates: DataFrame, report: int, lanes: int = 16) -> DataFrame:
     """The first `report` candidates of each language: lang, rank, phrase, a, l, r, n, score.
 
-    Each lane of a language keeps its own first ones, so that no task ranks all of a large language.
+    Counts by thousands of the score tell which candidates cannot be among them; of the others each lane of a
+    language keeps its own first ones, so that no task ranks all of a large language even if all scores tie.
     """
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    lane = F.pmod(F.xxhash64("phrase"), F.lit(lanes))
+    every = stored(candidates.withColumn("step", F.floor(F.col("score") / 1000)))
+    above = Window.partitionBy("lang").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    steps = every.groupBy("lang", "step").count().withColumn("above", F.coalesce(F.sum("count").over(above), F.lit(0)))
+    high = every.join(steps.filter(F.col("above") < report).select("lang", "step"), ["lang", "step"], "left_semi")
     within = Window.partitionBy("lang", "lane").orderBy(*order)
-    first = candidates.withColumn("lane", lane).withColumn("place", F.row_number().over(within)).filter(
-        F.col("place") <= report
-    )
+    first = high.withColumn("lane", F.pmod(F.xxhash64("phrase"), F.lit(lanes))).withColumn(
+        "place", F.row_number().over(within)
+    ).filter(F.col("place") <= report)
     over = Window.partitionBy("lang").orderBy(*order)
     return first.withColumn("rank", F.row_number().over(over).cast("long")).filter(F.col("rank") <= report).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
