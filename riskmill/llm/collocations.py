@@ -121,18 +121,22 @@ def _sizes(langs: pa.Array, counts: np.ndarray):
 def _first_relation(size: int):
     def relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in chunks(batches, size):
-            keys, follows, names, salted, langs, counts = [], [], [], [], [], []
+            keys, follows, names, begins, ends, salted, langs, counts = ([] for _ in range(8))
+            base = 0
             for batch in table.to_batches():
                 for part in slices(batch, "text"):
                     words = Words(part.column("text"), BREAK)
-                    ends = np.concatenate([[0], np.cumsum(PIECE_END[words.data])])
+                    passed = np.concatenate([[0], np.cumsum(PIECE_END[words.data], dtype=np.int32)])
                     after = np.append(words.start[1:], len(words.data))
-                    same = ends[words.end] == ends[after]
+                    same = passed[words.end] == passed[after]
                     same[words.word_at[1:][words.counts > 0] - 1] = False
                     salt = np.asarray(part.column("salt")).view(np.uint64)
                     keys.append(joined(np.repeat(salt, words.counts), words.hashes()))
                     follows.append(same)
-                    names.append(words)
+                    names.append(words.data)
+                    begins.append(words.start + base)
+                    ends.append(words.end + base)
+                    base += len(words.data)
                     counts.append(words.counts)
                     langs.append(part.column("lang"))
                     salted.append(part.column("salt"))
@@ -141,11 +145,9 @@ def _first_relation(size: int):
             )
             order = np.argsort(-total, kind="stable")
             first, total = first[order], total[order]
-            base = np.cumsum([0, *(len(w.data) for w in names)])
-            begin = np.concatenate([w.start + b for w, b in zip(names, base)])[first]
-            end = np.concatenate([w.end + b for w, b in zip(names, base)])[first]
+            begin, end = np.concatenate(begins)[first], np.concatenate(ends)[first]
             name_at, chosen = picked(begin, end - begin)
-            folded = np.concatenate([w.data for w in names])[chosen].tobytes().lower()  # of bytes: A-Z alone
+            folded = np.concatenate(names)[chosen].tobytes().lower()  # of bytes: A-Z alone
             every = pa.chunked_array(langs).combine_chunks().dictionary_encode()
             salts = pa.chunked_array(salted).combine_chunks()
             places = [np.flatnonzero(np.asarray(every.indices) == k)[0] for k in range(len(every.dictionary))]
@@ -253,7 +255,7 @@ def _next_relation(length: int, least: int, share: int, parts: int):
 
 
 def collocations(
-    docs: DataFrame, text: str, lang: str, *, longest: int = 3, least: int = 10, share: int = 50, chunk: int = 1 << 23,
+    docs: DataFrame, text: str, lang: str, *, longest: int = 3, least: int = 10, share: int = 50, chunk: int = 6 << 20,
 ) -> DataFrame:
     """All candidates that no longer one makes superfluous: lang, phrase, words, a, l, r, n, score.
 
