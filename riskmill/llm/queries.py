@@ -212,6 +212,147 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM firsts""",
+    "op11_decontaminate": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT row, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), hits AS (
+  SELECT row, i, p.size, item_id FROM places p JOIN windows w ON p.size = w.size AND p.phrase = w.phrase
+), words AS (
+  SELECT row, count(DISTINCT j) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS j FROM hits) GROUP BY row
+), found AS (
+  SELECT row, list_sort(list(DISTINCT coalesce(item_id::VARCHAR, ''))) AS ids FROM hits GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (row) LEFT JOIN found USING (row)""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT row, lang, unnest(p) AS piece, generate_subscripts(p, 1) AS nth
+  FROM (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+               string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[.,;:!?\x0A-\x0D]') AS p FROM documents)
+), words AS (
+  SELECT lang, w, i, lead(w) OVER z AS w2, lead(w, 2) OVER z AS w3
+  FROM (SELECT row, nth, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+        FROM (SELECT *, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces))
+  WINDOW z AS (PARTITION BY row, nth ORDER BY i)
+), one AS (
+  SELECT lang, w, count(*) AS f FROM words GROUP BY ALL
+), two AS (
+  SELECT lang, w, w2, count(*) AS f FROM words WHERE w2 IS NOT NULL GROUP BY ALL
+), three AS (
+  SELECT lang, w, w2, w3, count(*) AS f FROM words WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), covered AS (
+  SELECT t.lang, b.w, b.w2 FROM three t JOIN two b ON t.lang = b.lang
+    AND ((b.w = t.w AND b.w2 = t.w2) OR (b.w = t.w2 AND b.w2 = t.w3)) AND 100 * t.f >= 50 * b.f
+), cuts AS (
+  SELECT b.lang, b.w || ' ' || b.w2 AS phrase, b.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM two b JOIN one x ON x.lang = b.lang AND x.w = b.w JOIN one y ON y.lang = b.lang AND y.w = b.w2
+  WHERE b.f >= 10 AND NOT EXISTS (FROM covered c WHERE c.lang = b.lang AND c.w = b.w AND c.w2 = b.w2)
+  UNION ALL
+  SELECT t.lang, t.w || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  FROM three t JOIN one x ON x.lang = t.lang AND x.w = t.w JOIN two y ON y.lang = t.lang AND y.w = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  FROM three t JOIN two x ON x.lang = t.lang AND x.w = t.w AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w = t.w3
+), scored AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, count(*) AS n FROM words GROUP BY lang) USING (lang) WHERE rank <= 2000""",
+    "op13_repair_conversations": r"""
+WITH RECURSIVE bits AS (
+  SELECT list(x ORDER BY b) AS t
+  FROM (SELECT b, list_reduce(list_concat([b], range(8)),
+                              lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS x
+        FROM range(256) r(b))
+), hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], [ascii(c) FOR c IN string_split(
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+             lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS fate
+  FROM conversations, bits
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE fate WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, E' \t\n\x0b\x0c\r') AS bare
+  FROM damaged
+), faults AS (
+  SELECT *, left(role, 1) AS c,
+         CASE WHEN bare = '' THEN 'blank' WHEN min(i) OVER (PARTITION BY conv_id, role, text) < i THEN 'duplicate'
+              WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM ordered
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         count(*) AS rows
+  FROM faults GROUP BY conv_id
+), ways AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': ''} AS q0, {'c': 1000000000::BIGINT, 'a': ''} AS q1,
+         {'c': 5::BIGINT, 'a': 'I'} AS q2, {'c': 10::BIGINT, 'a': 'II'} AS q3
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i, n0, n1,
+         list_min([n2, {'c': n0.c + 5, 'a': n0.a || 'I'}, {'c': n1.c + 5, 'a': n1.a || 'I'}, {'c': n3.c + 5, 'a': n3.a || 'I'}]),
+         list_min([n3, {'c': n2.c + 5, 'a': n2.a || 'I'}, {'c': n0.c + 10, 'a': n0.a || 'II'}, {'c': n1.c + 10, 'a': n1.a || 'II'}])
+  FROM (
+    SELECT w.conv_id, f.i, {'c': q0.c + 2, 'a': q0.a || 'D'} AS n0,
+           list_min([{'c': q1.c + 2, 'a': q1.a || 'D'}, {'c': q0.c + CASE WHEN c = 's' THEN stay ELSE never END, 'a': q0.a || 'K'}]) AS n1,
+           list_min([{'c': q2.c + 2, 'a': q2.a || 'D'}, {'c': from2.c + stay + 1, 'a': from2.a || 'R'},
+                     {'c': from2.c + CASE WHEN c = 'u' THEN stay ELSE never END, 'a': from2.a || 'K'}]) AS n2,
+           list_min([{'c': q3.c + 2, 'a': q3.a || 'D'}, {'c': q2.c + stay + 1, 'a': q2.a || 'R'},
+                     {'c': q2.c + CASE WHEN c = 'a' THEN stay ELSE never END, 'a': q2.a || 'K'}]) AS n3
+    FROM (SELECT *, list_min([q0, q1, q3]) AS from2, 1000000000 AS never FROM ways) w
+    JOIN (SELECT *, CASE fault WHEN '' THEN 0 WHEN 'truncated' THEN 5 ELSE 1000000000 END AS stay FROM faults) f
+      ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1
+  )
+), best AS (
+  SELECT w.conv_id, list_min([q0, q3]) AS way FROM ways w JOIN facts f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.rows
+), letters AS (
+  SELECT conv_id, e, sum(CASE WHEN e = 'I' THEN 0 ELSE 1 END) OVER z AS i, sum(CASE WHEN e = 'D' THEN 0 ELSE 1 END) OVER z AS place
+  FROM (SELECT conv_id, unnest(string_split(way.a, '')) AS e, generate_subscripts(string_split(way.a, ''), 1) AS k FROM best WHERE way.a <> '')
+  WINDOW z AS (PARTITION BY conv_id ORDER BY k)
+), kept AS (
+  SELECT l.conv_id, l.e, l.place, f.role, f.text, max(CASE WHEN l.e = 'K' AND l.place = 1 AND f.c = 's' THEN 1 ELSE 0 END)
+           OVER (PARTITION BY l.conv_id) AS led
+  FROM letters l LEFT JOIN faults f ON l.conv_id IS NOT DISTINCT FROM f.conv_id AND l.i = f.i AND l.e <> 'I'
+  WHERE l.e <> 'D'
+), said AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || coalesce(text, ''), chr(10) ORDER BY place) AS text
+  FROM kept GROUP BY conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.c, 0)::BIGINT AS cost,
+       coalesce(way.a, '') AS audit, sha256(coalesce(s.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN facts f ON d.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN best b ON d.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN said s ON d.conv_id IS NOT DISTINCT FROM s.conv_id""",
 }
 
 
