@@ -1,9 +1,10 @@
 """Exact ROC and precision-recall curves, their areas, and the threshold sweep.
 
-Running counts over all scores are taken slice by slice. The distinct scores are range
-partitioned, Spark's sampled and balanced way of sorting, and stored; each slice then adds
-up its own scores and starts from the totals of the slices before it. No task sees more
-than a slice, however the scores crowd together, and tied scores are one row from the start.
+Running counts over all scores are taken slice by slice. A slice is a function of the score:
+its bounds are approximate quantiles of the rows, taken once in a pass that merges sketches.
+Any bounds give the same counts; good ones make slices of like size. Each slice adds up its own
+scores and starts from the totals of the slices before it. No task sees more than a slice,
+however the scores crowd together, and tied scores are one row from the start. Nothing is stored.
 """
 
 from __future__ import annotations
@@ -16,49 +17,55 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskmill.functions.columns import share
 from riskmill.operators.metrics import f1_of
-from riskmill.session import cut_lineage
 
 # The threshold grid, and the threshold when there is nothing to choose from.
 SWEEP_LOW, SWEEP_HIGH, SWEEP_STEP = 0.05, 0.96, 0.01
 FALLBACK_THRESHOLD = 0.5
+#: Slices that running counts are taken in.
+SLICES = 128
 
 
-def running_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+def slice_bounds(scores: DataFrame, slices: int = SLICES) -> list[float]:
+    """At most `slices` - 1 numbers that part the rows of the column `score` about evenly."""
+    shares = F.array(*(F.lit(i / slices) for i in range(1, slices)))
+    found = scores.agg(F.percentile_approx("score", shares, 20 * slices)).first()[0] or []
+    return sorted({x for x in found if np.isfinite(x)}) or [0.0]
+
+
+def running_counts(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), slices: int = SLICES
+) -> DataFrame:
     """Per distinct score, from the highest: pos, neg, running tp and fp, and class totals.
 
-    Rows without a score or with a label other than 0 and 1 do not take part. The ranked
-    scores are checkpointed, so this runs a job.
+    Rows without a score or with a label other than 0 and 1 do not take part. With ``by`` every
+    group has its own curve. One small action finds the bounds of the slices.
     """
-    tied = (
-        df.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(
-            F.count_if(F.col(label) == 1).alias("pos"),
-            F.count_if(F.col(label) == 0).alias("neg"),
-        )
-    )
-    highest_first = F.col("score").desc()
-    sliced = cut_lineage(
-        tied.repartitionByRange(highest_first).withColumn("slice", F.spark_partition_id())
-    )
-    slices = sliced.groupBy("slice").agg(
-        F.max("score").alias("score"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
-    # At most one row per shuffle partition: small enough for one task and to broadcast.
-    earlier = Window.orderBy(highest_first).rowsBetween(Window.unboundedPreceding, -1)
-    overall = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = slices.select(
-        "slice",
+    valid = df.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull()).select(
+        *by, F.col(label).alias("actual"), F.col(score).cast("double").alias("score")
+    )
+    tied = valid.groupBy(*by, "score").agg(
+        F.count_if(F.col("actual") == 1).alias("pos"), F.count_if(F.col("actual") == 0).alias("neg"),
+    )
+    sliced = Bucketizer(
+        splits=[float("-inf"), *slice_bounds(valid, slices), float("inf")], inputCol="score",
+        outputCol="slice", handleInvalid="keep",
+    ).transform(tied)  # NaN, the highest score of all, has the highest slice
+    totals = sliced.groupBy(*by, "slice").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # At most `slices` + 1 rows in each of these groups.
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy(F.col("slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *by, "slice",
         F.coalesce(F.sum("pos").over(earlier), F.lit(0)).alias("pos_before"),
         F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("neg_before"),
-        F.sum("pos").over(overall).alias("positives"),
-        F.sum("neg").over(overall).alias("negatives"),
+        F.sum("pos").over(group).alias("positives"),
+        F.sum("neg").over(group).alias("negatives"),
     )
-    within = Window.partitionBy("slice").orderBy(highest_first).rowsBetween(
+    within = Window.partitionBy(*by, "slice").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return sliced.join(F.broadcast(offsets), "slice").select(
-        "score", "pos", "neg",
+    return sliced.join(offsets if by else F.broadcast(offsets), [*by, "slice"]).select(
+        *by, "score", "pos", "neg",
         (F.col("pos_before") + F.sum("pos").over(within)).alias("tp"),
         (F.col("neg_before") + F.sum("neg").over(within)).alias("fp"),
         "positives", "negatives",
@@ -122,12 +129,12 @@ def curve_areas(df: DataFrame, label: str, score: str) -> DataFrame:
     return areas_from(running_counts(df, label, score))
 
 
-def areas_from(running: DataFrame) -> DataFrame:
-    """``curve_areas`` from running counts."""
+def areas_from(running: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``curve_areas`` from running counts, one row per group."""
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     precision = tp / (tp + fp)
     precision_before = F.coalesce(F.try_divide(tp - pos, (tp - pos) + (fp - neg)), precision)
-    totals = running.agg(
+    totals = running.groupBy(*by).agg(
         F.sum(neg * (tp - pos / 2)).alias("under_roc"),
         F.sum(pos * (precision + precision_before) / 2).alias("under_pr"),
         F.sum(pos * precision).alias("steps"),
@@ -135,7 +142,7 @@ def areas_from(running: DataFrame) -> DataFrame:
         F.max("negatives").alias("n"),
     )
     return totals.select(
-        share(F.col("under_roc"), F.col("p").cast("double") * F.col("n")).alias("auc_roc"),
+        *by, share(F.col("under_roc"), F.col("p").cast("double") * F.col("n")).alias("auc_roc"),
         share(F.col("under_pr"), F.col("p")).alias("auc_pr"),
         share(F.col("steps"), F.col("p")).alias("average_precision"),
     )

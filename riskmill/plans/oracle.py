@@ -174,13 +174,14 @@ def _ratio0(top, bottom):
 
 
 def _sweep(source, score, prefix=""):
-    """Counts and rates at every threshold, by comparing every row with every threshold."""
-    hits = f"FILTER (WHERE {score} >= threshold AND {LABEL} = {{0}})"
+    """Counts and rates at every threshold, by comparing every distinct score with every threshold."""
+    total = "coalesce(CAST(sum({0}) FILTER (WHERE s {1} threshold) AS BIGINT), 0)"
     return (
-        f", {prefix}hits AS (SELECT threshold, count(*) {hits.format(1)} AS tp,"
-        f" count(*) {hits.format(0)} AS fp,"
-        f" count(*) FILTER (WHERE {score} < threshold AND {LABEL} = 1) AS fn"
-        f" FROM (SELECT unnest([{GRID}]) AS threshold), {source} GROUP BY threshold)"
+        f", {prefix}tallied AS (SELECT {score} AS s, count(*) FILTER (WHERE {LABEL} = 1) AS one,"
+        f" count(*) FILTER (WHERE {LABEL} = 0) AS zero FROM {source} GROUP BY {score})"
+        f", {prefix}hits AS (SELECT threshold, {total.format('one', '>=')} AS tp,"
+        f" {total.format('zero', '>=')} AS fp, {total.format('one', '<')} AS fn"
+        f" FROM (SELECT unnest([{GRID}]) AS threshold), {prefix}tallied GROUP BY threshold)"
         f", {prefix}rated AS (SELECT threshold, tp, fp, fn,"
         f" {_ratio0('tp', 'tp + fp')} AS precision, {_ratio0('tp', 'tp + fn')} AS recall"
         f" FROM {prefix}hits)"
@@ -462,6 +463,55 @@ SPLIT = (
 NEGATIVES, POSITIVES = (f"count(*) FILTER (WHERE {LABEL} = {v})" for v in (0, 1))
 
 
+MARKED = (
+    f"{PREPARED}, marked AS MATERIALIZED (SELECT *, {SPLIT_CASE} AS split FROM prepared WHERE {LABEL} IN (0, 1))"
+    ", train AS (SELECT * FROM marked WHERE split = 'train'), rest AS (SELECT * FROM marked WHERE split <> 'train')"
+)
+
+
+def _linear():
+    """Weights of numerics as columns of one row, of levels as rows of one table per category."""
+    numbers = ", ".join(
+        f"avg({c}) FILTER (WHERE {LABEL} = 1) AS a_{c}, avg({c}) FILTER (WHERE {LABEL} = 0) AS b_{c}, var_pop({c}) AS v_{c}"
+        for c in LOANS.model_numeric
+    )
+    weights = ", ".join(f"CASE WHEN v_{c} > 0 THEN (a_{c} - b_{c}) / v_{c} ELSE 0e0 END AS w_{c}" for c in LOANS.model_numeric)
+    middle = " + ".join(f"w_{c} * (a_{c} + b_{c}) / 2" for c in LOANS.model_numeric)
+    levels = "".join(
+        f", l_{c} AS (SELECT {c}, ln((count(*) FILTER (WHERE {LABEL} = 1) + 5e-1) / (count(*) FILTER (WHERE {LABEL} = 0) + 5e-1))"
+        f" AS o_{c} FROM train GROUP BY {c})" for c in LOANS.categorical
+    )
+    margin = " + ".join([f"-({middle})", *(f"{c} * w_{c}" for c in LOANS.model_numeric), *(f"coalesce(o_{c}, 0e0)" for c in LOANS.categorical)])
+    joins = " ".join(f"LEFT JOIN l_{c} USING ({c})" for c in LOANS.categorical)
+    return (
+        f"{MARKED}, n AS (SELECT {numbers} FROM train), w AS MATERIALIZED (SELECT *, {weights} FROM n){levels}"
+        f" SELECT {KEY}, split, round(1e0 / (1 + exp(-({margin}))), 6) AS score FROM rest {joins}, w"
+    )
+
+
+def _forest():
+    """Nodes by rule: every numeric splits at its mean, both halves at the mean of the next numeric."""
+    names = LOANS.model_numeric
+    means = ", ".join(f"round(avg({c}), 3) AS m_{c}" for c in names)
+
+    def sides(source, keep):
+        return " UNION ALL ".join(
+            f"SELECT {keep}, {i} AS tree, CASE WHEN {c} <= m_{c} THEN 1 ELSE 2 END AS half,"
+            f" CASE WHEN {d} <= m_{d} THEN 1 ELSE 2 END AS quarter FROM {source}, means"
+            for i, (c, d) in enumerate(zip(names, [*names[1:], names[0]]))
+        )
+
+    gini = "(2e0 * sum(pos) * (sum(n) - sum(pos)) / sum(n))"
+    return (
+        f"{MARKED}, means AS MATERIALIZED (SELECT {means} FROM train), sides AS ({sides('train', LABEL)})"
+        f", cells AS MATERIALIZED (SELECT tree, half, quarter, count(*) AS n, count(*) FILTER (WHERE {LABEL} = 1) AS pos"
+        " FROM sides GROUP BY ALL)"
+        f", whole AS (SELECT tree, 0 AS half, sum(n) AS n, {gini} AS impure FROM cells GROUP BY tree)"
+        f", halves AS (SELECT tree, half, sum(n) AS n, {gini} AS impure FROM cells GROUP BY tree, half)"
+        f", quarters AS (SELECT tree, half, quarter, {gini} AS impure FROM cells GROUP BY tree, half, quarter)"
+    ), sides
+
+
 def statements() -> dict[str, str]:
     """SQL by query name."""
     numeric = [c for c in RAW_COLUMNS if c not in RAW_TEXT]
@@ -575,11 +625,23 @@ def statements() -> dict[str, str]:
         "assemble": f"{TYPED}, complete AS (SELECT * FROM typed WHERE "
         + " AND ".join(f"{c} IS NOT NULL" for c in LOANS.numeric)
         + f") {_slots('complete', LOANS.numeric, unknown_slots=False)}",
-        "scale": f"{PREPARED}, m AS (SELECT "
+        "scale": f"{PREPARED.replace(', prepared AS (', ', prepared AS MATERIALIZED (')}, m AS (SELECT "
         + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in LOANS.numeric)
         + f" FROM prepared) SELECT {KEY}, "
         + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) + 0e0 AS {c}" for c in LOANS.numeric)
         + " FROM prepared, m",
+        "score_linear": _linear(),
+        "score_forest": f"{_forest()[0]}, numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS row FROM rest)"
+        f", walked AS ({_forest()[1]('numbered', f'row, {KEY}, split')})"
+        f" SELECT {KEY}, split, round(avg(CAST(pos AS DOUBLE) / n), 6) AS score FROM walked"
+        f" JOIN cells USING (tree, half, quarter) GROUP BY row, {KEY}, split",
+        "forest_importance": f"{_forest()[0]}, gains AS (SELECT w.tree, w.tree AS slot, w.impure - sum(h.impure) AS gain"
+        " FROM whole w JOIN halves h USING (tree) GROUP BY w.tree, w.impure"
+        f" UNION ALL SELECT tree, (tree + 1) % {len(LOANS.model_numeric)}, sum(lost) FROM (SELECT h.tree, h.half,"
+        " h.impure - sum(q.impure) AS lost FROM halves h JOIN quarters q USING (tree, half) GROUP BY h.tree, h.half, h.impure)"
+        " GROUP BY tree), shares AS (SELECT slot, sum(gain / whole) AS part FROM gains"
+        " JOIN (SELECT tree, sum(gain) AS whole FROM gains GROUP BY tree) USING (tree) WHERE whole > 0 GROUP BY slot)"
+        " SELECT CAST(slot AS INTEGER) AS slot, round(part / (SELECT sum(part) FROM shares), 6) AS importance FROM shares",
         "feature_pipeline": f"{PREPARED}, train AS (SELECT * FROM prepared WHERE {_hash()} < 0.64)"
         f" {_slots('train', LOANS.model_numeric)}",
         "feature_pipeline_parts": f"{PREPARED}, parts AS (SELECT *, {SPLIT_CASE} AS split FROM prepared"

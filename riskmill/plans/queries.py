@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskmill.operators import (
-    clean, correlation, curves, dedup, encode, metrics, models, ordering, profile, relevance,
+    clean, correlation, curves, dedup, encode, metrics, model_tables, models, ordering, profile, relevance,
     report, split,
 )
 from riskmill.session import cut_lineage, scratch_path, tune
@@ -727,6 +727,93 @@ def fit_with_search(spark, sf):
     return _rounded(results, "value")
 
 
+def _marked(spark, sf):
+    """Model rows with their part of the split."""
+    return _stored_split(prepared(spark, sf), "marked-rows")
+
+
+def _rule_weights(train):
+    """A linear model by rule: distances of class means over variances, log odds of levels."""
+    one, zero = F.col(LABEL) == 1, F.col(LABEL) == 0
+    numbers = train.unpivot(LABEL, list(LOANS.model_numeric), "column", "x").groupBy("column").agg(
+        F.avg(F.when(one, F.col("x"))).alias("m1"), F.avg(F.when(zero, F.col("x"))).alias("m0"),
+        F.var_pop("x").alias("spread"),
+    ).select("column", F.when(F.col("spread") > 0, (F.col("m1") - F.col("m0")) / F.col("spread")).otherwise(0.0).alias("weight"), "m1", "m0")
+    levels = train.unpivot(LABEL, list(LOANS.categorical), "column", "level").groupBy("column", "level").agg(
+        F.log((F.count_if(one) + 0.5) / (F.count_if(zero) + 0.5)).alias("weight")
+    )
+    middle = numbers.agg((-F.sum(F.col("weight") * (F.col("m1") + F.col("m0")) / 2)).alias("weight"))
+    return levels.unionByName(numbers.select("column", "weight"), allowMissingColumns=True).unionByName(
+        middle, allowMissingColumns=True
+    )
+
+
+@_query
+def score_linear(spark, sf):
+    """Validation and test rows, scored by a table of weights that a rule gives."""
+    rows = _marked(spark, sf)
+    weights = _rule_weights(rows.filter(F.col("split") == "train"))
+    return _rounded(model_tables.linear_scores(
+        rows.filter(F.col("split") != "train"), weights, LOANS.model_numeric, LOANS.categorical, [KEY, "split"]
+    ), "score")
+
+
+def _rule_nodes(train):
+    """Trees by rule, one per numeric: it splits at its mean, and both halves at the mean of the next one."""
+    names = LOANS.model_numeric
+    means = train.agg(*(F.round(F.avg(c), 3).alias(c) for c in names)).select(F.array(*names)).scalar()
+    at = lambda i: F.get(means, F.lit(i % len(names)))
+    sides = train.select((F.col(LABEL) == 1).alias("one"), F.explode(F.array(*(
+        F.struct(
+            F.lit(i).alias("tree"), F.when(F.col(c) <= at(i), 1).otherwise(2).alias("half"),
+            F.when(F.col(names[(i + 1) % len(names)]) <= at(i + 1), 1).otherwise(2).alias("quarter"),
+        ) for i, c in enumerate(names)
+    ))).alias("s"))
+    cells = cut_lineage(sides.groupBy("s.tree", "s.half", "s.quarter").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("one").alias("pos")
+    ))
+    node = {0: F.lit(0), 1: F.col("half"), 2: 2 * F.col("half") + F.col("quarter")}
+    counts = None
+    for depth, number in node.items():
+        level = cells.groupBy("tree", number.cast("int").alias("node")).agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+        level = level.withColumn("depth", F.lit(depth))
+        counts = level if counts is None else counts.unionByName(level)
+    rate = F.col("pos") / F.col("n")
+    rated = counts.withColumns({"value": rate, "impure": F.col("n") * 2 * rate * (1 - rate)})
+    below = rated.filter("node > 0").groupBy("tree", F.floor((F.col("node") - 1) / 2).cast("int").alias("node")).agg(
+        F.sum("impure").alias("rest")
+    )
+    inner, next_slot = F.col("depth") < 2, (F.col("tree") + F.col("depth")) % len(names)
+    return rated.join(below, ["tree", "node"], "left").select(
+        "tree", "node", F.when(inner, next_slot).otherwise(-1).alias("slot"),
+        F.when(inner, F.get(means, next_slot)).alias("threshold"),
+        F.when(inner, 2 * F.col("node") + 1).otherwise(-1).alias("left"),
+        F.when(inner, 2 * F.col("node") + 2).otherwise(-1).alias("right"), "value",
+        ((F.col("impure") - F.coalesce("rest", F.lit(0.0))) / F.col("n")).alias("gain"),
+        F.col("n").cast("double").alias("mass"), F.lit(1.0).alias("weight"),
+    )
+
+
+@_query
+def score_forest(spark, sf):
+    """Validation and test rows, scored by walking a table of nodes that a rule gives."""
+    rows = _marked(spark, sf)
+    nodes = cut_lineage(_rule_nodes(rows.filter(F.col("split") == "train")))
+    rest = rows.filter(F.col("split") != "train").select(
+        KEY, "split", F.array(*(F.col(c).cast("double") for c in LOANS.model_numeric)).alias("values"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    margins = model_tables.tree_margins(rest, nodes, ["row", KEY, "split"], "values", 2)
+    return _rounded(model_tables.forest_scores(margins).drop("row"), "score")
+
+
+@_query
+def forest_importance(spark, sf):
+    """The importance of each slot by the gains in a table of nodes that a rule gives."""
+    nodes = cut_lineage(_rule_nodes(_marked(spark, sf).filter(F.col("split") == "train")))
+    return _rounded(model_tables.tree_importances(nodes), "importance")
+
+
 @_query
 def feature_importance(spark, sf):
     train, _, _ = _parts(spark, sf)
