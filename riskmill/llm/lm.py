@@ -1,23 +1,25 @@
-"""Language-model scores from a weighted backoff model of n-grams.
+"""Language-model scores from a weighted backoff automaton of n-grams.
 
-The model is smoothed by interpolation: p(w | h) = (1 - backoff) * c(h w) / c(h) + backoff * p(w | h'),
-where h' is h without its first word, down to single words with one added to every count; a history that
-training does not hold leaves p(w | h'). A backoff automaton with failure arcs of weight `backoff` gives the
-same values. None is built here: every order is looked up and interpolated at all positions of a chunk at once.
+The model is smoothed by interpolation: p(w | h) = (1 - backoff) * c(h w) / c(h) + backoff * p(w | h'), where h' is h
+without its first word, down to single words with one added to every count. As an automaton: every history
+that training holds is a state; an n-gram that training holds is an arc from its history, with the log of its
+smoothed probability, to the longest state that ends it; and a failure arc leads from h to h' with the log
+of `backoff`. The empty history has an arc for every word, unknown ones too. A text is read from left to
+right: the state is carried on, failure arcs are followed until the word has an arc, and the logs add up. A text
+begins in a state of its own.
 
-The model is as large as the corpus, so no task holds all of it. Texts are read in chunks of about
-`chunk` bytes. A chunk asks for the distinct n-grams that it needs, each with how often its training
-texts hold it; askers of one hash range meet in one task, which adds up the counts and answers every
-chunk in the order of its question. The model of a chunk holds just the n-grams of its own texts, with
-the counts of the whole corpus. Questions are combined within a chunk, so
-that a word or passage in all texts is asked for once per chunk.
+The model is as large as the corpus, so no task holds all of it. Texts are read in blocks of about `chunk` bytes.
+A block asks for the counts of its own n-grams in all training texts (see `tallies`) and builds that part of the
+automaton which its texts can reach. Long texts are read in stretches side by side; a stretch starts in the
+state that the words just before it lead to, which is the carried state, since states are at most
+`order` - 1 words long.
 
-Chunks are cut from the rows as they are read, which a re-read of the same files repeats; an answer that
-does not fit its chunk is an error, never a wrong score. The words of a chunk travel to its answers as a
-compressed block, not as text.
+Blocks are cut from the rows as they are read, which a re-read of the same files repeats; an answer to another
+question is an error, never a wrong score.
 
 Rules: words are runs of bytes outside ASCII white space, A-Z in lower case; each text ends in one end
-token. NULL and empty texts hold just the end token. Without training texts all counts are 0.
+token. NULL and empty texts hold just the end token. Without training texts all counts are 0. N-grams are
+known by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,11 +31,18 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskmill.llm import tallies
 from riskmill.llm.store import stored
-from riskmill.llm.text import Words, joined, slices
+from riskmill.llm.text import Words, chunks, joined, slices
 
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
+#: Questions that every block asks: how many tokens and how many texts training has.
+TOKENS, TEXTS = np.uint64(0), np.uint64(2)
+ONE = np.uint64(1)
+
+#: Tokens of a stretch that is read side by side with others.
+STRETCH = 512
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -48,122 +57,173 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ngrams(tokens: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
-    """For each order from 1, the hash of the n-gram that ends at each token; a text begins with one
-    mark, and what would reach beyond it is the n-gram from the mark on."""
-    first = np.zeros(len(tokens), bool)
-    first[at[:-1]] = True
-    out = [tokens]
+    """For each length from 1, the key of the n-gram that ends at each token; single words are even, others odd.
+
+    A text begins with one mark. What would reach beyond it has the key 0.
+    """
     since = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
+    out, whole = [tokens & ~ONE], tokens
     for n in range(2, order + 1):
-        shorter = np.empty_like(tokens)  # the n-gram one shorter that ends one token earlier
-        shorter[1:] = out[-1][:-1]
-        shorter[first] = BEGIN
-        whole = joined(shorter, tokens + np.uint64(n))
-        out.append(np.where(since >= n - 2, whole, out[-1]))
+        before = np.empty_like(whole)  # the n-gram one shorter that ends one token earlier
+        before[1:] = whole[:-1]
+        before[since == 0] = BEGIN
+        whole = joined(before, tokens + np.uint64(n))
+        out.append(np.where(since >= n - 2, whole | ONE, np.uint64(0)))
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int):
-    """Runs of rows with about `size` bytes of text, numbered within the partition."""
-    held, held_bytes, number = [], 0, 0
-    for batch in batches:
-        for part in slices(batch, "text", size):
-            held.append(part)
-            held_bytes += part.column("text").nbytes
-            if held_bytes >= size:
-                yield number, pa.Table.from_batches(held).combine_chunks()
-                held, held_bytes, number = [], 0, number + 1
-    if held:
-        yield number, pa.Table.from_batches(held).combine_chunks()
-
-
-def _needs(table: pa.Table, order: int):
-    """What a chunk asks for: sorted distinct words and longer n-grams, each with its count in the
-    chunk's training texts; and all its n-grams and text beginnings."""
-    tokens, at = [], [np.zeros(1, np.int64)]
-    for batch in table.to_batches():
-        for part in slices(batch, "text"):
-            t, a = token_hashes(part.column("text"))
-            at.append(a[1:] + at[-1][-1])
-            tokens.append(t)
-    at = np.concatenate(at)
-    grams = ngrams(np.concatenate(tokens), at, order)
-    train = np.repeat(np.asarray(table.column("train").combine_chunks()), np.diff(at))
-    asks = []
-    for n, g in enumerate(grams):
-        every, learned = np.sort(g), np.sort(g[train])
-        key = every[np.flatnonzero(np.diff(every, prepend=every[:1] ^ np.uint64(1)))]
-        asks.append((key, np.searchsorted(learned, key, "right") - np.searchsorted(learned, key, "left")))
-    longer = [np.concatenate(x) for x in zip(*asks[1:])]
-    by_key = np.argsort(longer[0], kind="stable")
-    return asks[0], (longer[0][by_key], longer[1][by_key]), grams, at
-
-
-def _narrow(x: np.ndarray) -> bytes:
-    """Non-negative numbers in as few bytes each as the largest needs, compressed."""
-    kind = next(k for k in "BHIQ" if len(x) == 0 or int(x.max()) < 1 << (8 * np.dtype(k).itemsize))
-    return kind.encode() + zstandard.compress(x.astype(kind).tobytes(), 1)
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data[1:]), data[:1].decode()).astype(np.int64)
-
+class Grams:
+    """The n-grams of a block. keys: of each length, sorted and distinct; code: of each length, by token, its place
+    among the keys, or -1; at: where each text begins, and the end; train: by token."""
+
+    def __init__(self, table: pa.Table, order: int):
+        tokens, at = [], [np.zeros(1, np.int64)]
+        for batch in table.to_batches():
+            for part in slices(batch, "text"):
+                t, a = token_hashes(part.column("text"))
+                at.append(a[1:] + at[-1][-1])
+                tokens.append(t)
+        self.at = np.concatenate(at)
+        self.train = np.repeat(np.asarray(table.column("train").combine_chunks()), np.diff(self.at))
+        self.texts = int(np.asarray(table.column("train").combine_chunks()).sum())
+        self.keys, self.code = [], []
+        for grams in ngrams(np.concatenate(tokens), self.at, order):
+            keys, code = np.unique(grams, return_inverse=True)
+            none = int(len(keys) > 0 and keys[0] == 0)
+            self.keys.append(keys[none:])
+            self.code.append((code - none).astype(np.int32))
+
+    def question(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys in order, and how often the block's training texts hold each."""
+        keys, counts = [np.array([TOKENS, TEXTS])], [np.array([self.train.sum(), self.texts])]
+        for key, code in zip(self.keys, self.code):
+            keys.append(key)
+            counts.append(np.bincount(code[self.train & (code >= 0)], minlength=len(key)))
+        every, many = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(every, kind="stable")
+        return every[order], many[order]
+
+    def counts(self, keys: np.ndarray, totals: np.ndarray) -> tuple[list[np.ndarray], int, int]:
+        """Training's counts of the n-grams of each length, its tokens and its texts."""
+        return [totals[np.searchsorted(keys, k)] for k in self.keys], int(totals[0]), int(totals[1])
+
+
+class Automaton:
+    """The part of the model that a block's n-grams reach.
+
+    States are 0 for the empty history, 1 for the beginning of a text, then the histories that training holds.
+    single: log of each word from the empty history; after: the state each word leads to from there; arcs: sorted
+    state * words + word; weight, target: of each arc; failure: the state that each state falls back to.
+    """
 
-COLUMNS = "part long, task long, number long, words {0}, ngrams {0}, word_counts binary, ngram_counts binary"
+    def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, texts: int, types: int, backoff: float):
+        order, words = len(counts), len(counts[0])
+        first = [_first(code, len(keys)) for code, keys in zip(grams.code, grams.keys)]
+        begins = np.zeros(len(grams.code[0]), bool)
+        begins[grams.at[:-1]] = True
+        chance = (counts[0] + 1) / (tokens + types + 1)  # of each n-gram of the length at hand
+        self.words, self.single = words, np.log10(chance)
+        state, made = [np.zeros(0, np.int64)] * order, 2
+        failure = [np.zeros(2, np.int64)]
+        for n in range(order - 1):  # histories of n + 1 words
+            seen = counts[n] > 0
+            state[n] = np.where(seen, made + np.cumsum(seen) - 1, 0)
+            made += int(seen.sum())
+            shorter = np.zeros(int(seen.sum()), np.int64) if n == 0 else state[n - 1][grams.code[n - 1][first[n][seen]]]
+            failure.append(shorter)
+        self.failure = np.concatenate(failure)
+        self.after = state[0] if order > 1 else np.zeros(words, np.int64)
+        arcs, weights, targets = [], [], []
+        for n in range(1, order):  # arcs of n + 1 words
+            seen = np.flatnonzero(counts[n] > 0)
+            place = first[n][seen]
+            start = begins[place]
+            before = np.where(start, 0, grams.code[n - 1][place - 1]) if n == 1 else grams.code[n - 1][place - 1]
+            often = np.where(start, texts, counts[n - 1][before]) if n == 1 else counts[n - 1][before]
+            source = np.where(start, 1, state[n - 1][before]) if n == 1 else state[n - 1][before]
+            shorter = chance[grams.code[n - 1][place]]
+            chance = np.full(len(counts[n]), np.nan)
+            chance[seen] = (1 - backoff) * counts[n][seen] / often + backoff * shorter
+            word = grams.code[0][place]
+            arcs.append(source * words + word)
+            weights.append(np.log10(chance[seen]))
+            targets.append(state[n][seen] if n < order - 1 else state[n - 1][grams.code[n - 1][place]])
+        arcs = np.concatenate([np.zeros(0, np.int64), *arcs])
+        sort = np.argsort(arcs)
+        self.arcs = arcs[sort]
+        self.weight = np.concatenate([np.zeros(0), *weights])[sort]
+        self.target = np.concatenate([np.zeros(0, np.int64), *targets])[sort]
+        self.order, self.falls = order, np.log10(backoff)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Reads one word in each state: the states that follow, and the logs on the way."""
+        log, after, left = np.zeros(len(state)), np.zeros(len(state), np.int64), np.arange(len(state))
+        at = state
+        while len(left):
+            empty = at == 0
+            here = left[empty]
+            log[here] += self.single[word[here]]
+            after[here] = self.after[word[here]]
+            left, at = left[~empty], at[~empty]
+            if not len(left):
+                break
+            key = at * self.words + word[left]
+            place = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1) if len(self.arcs) else None
+            found = self.arcs[place] == key if place is not None else np.zeros(len(left), bool)
+            if place is not None:
+                log[left[found]] += self.weight[place[found]]
+                after[left[found]] = self.target[place[found]]
+            left, at = left[~found], self.failure[at[~found]]
+            log[left] += self.falls
+        return after, log
+
+    def read(self, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The log of every text, each read from left to right."""
+        many = -(-np.diff(at) // STRETCH)
+        text = np.repeat(np.arange(len(many)), many)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+        start = at[text] + nth * STRETCH
+        end = np.minimum(start + STRETCH, at[text + 1])
+        order = np.argsort(start - end, kind="stable")  # the longest first, so that those still read come first
+        text, nth, start, end = text[order], nth[order], start[order], end[order]
+        state = np.where(nth == 0, 1 if self.order > 1 else 0, 0)
+        later = np.flatnonzero(nth > 0)
+        for k in range(self.order - 1, 0, -1):  # the words just before a stretch lead to its first state
+            state[later], _ = self.step(state[later], word[start[later] - k])
+        sums, size = np.zeros(len(text)), end - start
+        for k in range(int(size.max(initial=0))):
+            live = int(np.searchsorted(-size, -k))
+            state[:live], log = self.step(state[:live], word[start[:live] + k])
+            sums[:live] += log
+        return np.bincount(text, sums, len(many))
+
+
+def _first(code: np.ndarray, size: int) -> np.ndarray:
+    """A token at which each n-gram ends."""
+    out = np.zeros(size, np.int64)
+    places = np.flatnonzero(code >= 0)
+    out[code[places]] = places
+    return out
 
 
 def _questions(order: int, chunk: int, parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spread = np.uint64((1 << 64) // parts + 1)
-        for number, table in _chunks(batches, chunk):
-            words, longer, _, at = _needs(table, order)
-            task = table.column("task")[0].as_py()
-            train = np.asarray(table.column("train").combine_chunks())
-            sums = int(train.sum()), int(np.diff(at)[train].sum())
-            cuts = [np.searchsorted((k // spread).astype(np.int64), np.arange(parts + 1)) for k, _ in (words, longer)]
-            for p in range(parts):
-                mine = [slice(c[p], c[p + 1]) for c in cuts]
-                data = [x[0][m].tobytes() for x, m in zip((words, longer), mine)]
-                data += [_narrow(x[1][m]) for x, m in zip((words, longer), mine)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v]) for v in (p, task, number)] + [pa.array([d], pa.binary()) for d in data]
-                    + [pa.array([v if p == 0 else 0]) for v in sums],
-                    ["part", "task", "number", "words", "ngrams", "word_counts", "ngram_counts", "texts", "tokens"],
-                )
+        for number, table in chunks(batches, chunk):
+            keys, counts = Grams(table, order).question()
+            yield from tallies.question(table.column("task")[0].as_py(), number, keys, counts, parts)
 
     return ask
 
 
-def _summed(keys: list[bytes], counts: list[bytes]) -> tuple[list[bytes], int]:
-    """The counts of equal keys added up, told in the order of each question; how many are above 0."""
-    asked = [np.frombuffer(k, np.uint64) for k in keys]
-    known, place = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(place, np.concatenate([_wide(c) for c in counts]), len(known)).astype(np.int64)
-    cuts = np.cumsum([0, *map(len, asked)])
-    return [_narrow(total[place[a:b]]) for a, b in zip(cuts, cuts[1:])], int((total > 0).sum())
-
-
-def _answers(key: tuple, asked: pa.Table) -> pa.Table:
-    """For one hash range: the answer to each chunk, and how many words training has there."""
-    words, types = _summed(asked["words"].to_pylist(), asked["word_counts"].to_pylist())
-    longer, _ = _summed(asked["ngrams"].to_pylist(), asked["ngram_counts"].to_pylist())
-    return pa.table({
-        "part": asked["part"], "task": asked["task"], "number": asked["number"],
-        "words": pa.array(words, pa.binary()), "ngrams": pa.array(longer, pa.binary()),
-        "texts": asked["texts"], "tokens": asked["tokens"],
-        "types": pa.array([types if i == 0 else 0 for i in range(asked.num_rows)]),
-    })
-
-
 def _blocks(chunk: int):
-    """The rows of each chunk as one compressed block."""
+    """The rows of each block, compressed."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, table in _chunks(batches, chunk):
+        for number, table in chunks(batches, chunk):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
-            data = zstandard.compress(sink.getvalue().to_pybytes(), 3)
+            data = zstandard.compress(sink.getvalue(), 3)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([table.column("task")[0].as_py()]), pa.array([number]), pa.array([data], pa.binary())],
                 ["task", "number", "block"],
@@ -172,84 +232,55 @@ def _blocks(chunk: int):
     return pack
 
 
-def automaton_scores(
-    grams: list[np.ndarray], at: np.ndarray, words: tuple, longer: tuple, *, tokens: int, types: int, texts: int,
-    backoff: float,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """log10 of each text by interpolation, as a backoff automaton gives it, and by single words, and its
-    known tokens.
+SCORED = pa.schema([
+    ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
+    ("base_score", pa.float64()), ("score", pa.float64()),
+])
 
-    words, longer: sorted n-grams with their counts. The probability of each order is that of the n-gram
-    that was seen plus what the shorter history hands down.
-    """
-    count = [(words if n == 0 else longer) for n in range(len(grams))]
-    count = [c[1][np.searchsorted(c[0], g)] for c, g in zip(count, grams)]
-    single = (count[0] + 1) / (tokens + types + 1)
-    p = single
-    first = np.zeros(len(single), bool)
-    first[at[:-1]] = True
-    since = np.arange(len(single)) - np.repeat(at[:-1], np.diff(at))
-    for k in range(1, len(grams)):
-        history = np.empty(len(single), np.int64)  # how often training was in this state
-        history[1:] = count[k - 1][:-1]
-        history[first] = texts
-        exists = (since >= k - 1) & (history > 0)  # a text that has just begun has no longer state
-        p = np.where(exists, (1 - backoff) * count[k] / np.maximum(history, 1) + backoff * p, p)
-    sums = lambda x: np.add.reduceat(x, at[:-1])
-    return sums(np.log10(p)), sums(np.log10(single)), sums((count[0] > 0).astype(np.int64))
-
-
-def _scored(order: int, backoff: float, tokens: int, types: int, texts: int):
-    schema = pa.schema([
-        ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-        ("score", pa.float64()),
-    ])
 
+def _scored(order: int, backoff: float, types: int, parts: int):
     def score(key: tuple, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if not blocks.num_rows:
-            return schema.empty_table()
+            return SCORED.empty_table()
         table = pa.ipc.open_stream(zstandard.decompress(blocks["block"][0].as_py())).read_all().combine_chunks()
-        words, longer, grams, at = _needs(table, order)
-        told = answers.sort_by("part")
-        counts = [np.concatenate([_wide(x) for x in told[c].to_pylist()]) for c in ("words", "ngrams")]
-        if [len(c) for c in counts] != [len(words[0]), len(longer[0])]:
-            raise ValueError(f"chunk {key} has other n-grams than it asked for")
-        model, base, known = automaton_scores(
-            grams, at, (words[0], counts[0]), (longer[0], counts[1]),
-            tokens=tokens, types=types, texts=texts, backoff=backoff,
-        )
-        return pa.table([table["id"], pa.array(np.diff(at)), pa.array(known), pa.array(base), pa.array(model)], schema=schema)
+        grams = Grams(table, order)
+        asked, _ = grams.question()
+        totals, _ = tallies.answer(answers, asked, parts)
+        counts, tokens, texts = grams.counts(asked, totals)
+        model = Automaton(grams, counts, tokens, texts, types, backoff)
+        sums = lambda x: np.add.reduceat(x[grams.code[0]], grams.at[:-1])
+        known = sums((counts[0] > 0).astype(np.int64))
+        return pa.table([
+            table["id"], pa.array(np.diff(grams.at)), pa.array(known), pa.array(np.full(len(known), tokens)),
+            pa.array(sums(model.single)), pa.array(model.read(grams.code[0], grams.at)),
+        ], schema=SCORED)
 
     return score
 
 
 def lm_scores(
-    docs: DataFrame, key: str, text: str, train: Column, *, order: int = 2, backoff: float = 0.6,
-    chunk: int = 1 << 23, parts: int | None = None,
+    docs: DataFrame, key: str, text: str, train: Column, *, order: int = 3, backoff: float = 0.6, chunk: int = 12 << 20,
 ) -> DataFrame:
-    """Per row: key, n_tokens, n_known, train_tokens, base_score, score.
-
-    order: longest n-gram, 2 at least. parts: hash ranges of the n-grams, each for one task; by default
-    as many as shuffle partitions.
-    """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Per row: key, n_tokens, n_known, train_tokens, base_score, score. order: longest n-gram."""
+    if order < 1 or not 0 < backoff < 1:
+        raise ValueError("order must be 1 or more, backoff between 0 and 1")
+    spark = docs.sparkSession
     rows = docs.select(
-        F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"),
-        F.spark_partition_id().cast("long").alias("task"),
+        F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
+        F.coalesce(train, F.lit(False)).alias("train"), F.spark_partition_id().cast("long").alias("task"),
     )
-    answered = stored(rows.mapInArrow(
-        _questions(order, chunk, parts), COLUMNS.format("binary") + ", texts long, tokens long"
-    ).groupBy("part").applyInArrow(
-        _answers, "part long, task long, number long, words binary, ngrams binary, texts long, tokens long, types long"
-    ))
-    tokens, types, texts = answered.agg(*(
-        F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "texts")
-    )).first()
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    parts = tallies.ranges(spark, size * order // 8)
+    told = stored(tallies.totals(rows.mapInArrow(_questions(order, chunk, parts), tallies.ASK)))
+    types = told.agg(F.coalesce(F.sum("even"), F.lit(0))).first()[0]
     blocks = rows.mapInArrow(_blocks(chunk), "task long, number long, block binary")
-    scored = blocks.groupBy("task", "number").cogroup(
-        answered.select("task", "number", "part", "words", "ngrams").groupBy("task", "number")
-    ).applyInArrow(
-        _scored(order, backoff, tokens, types, texts),
-        "id long, n_tokens long, n_known long, base_score double, score double",
+    scored = blocks.groupBy("task", "number").cogroup(told.groupBy("task", "number")).applyInArrow(
+        _scored(order, backoff, _words(types), parts),
+        "id long, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
-    return scored.withColumn("train_tokens", F.lit(tokens).cast("long")).withColumnRenamed("id", key)
+    return scored.withColumnRenamed("id", key)
+
+
+def _words(even: int) -> int:
+    """Distinct words among the even keys with a total: without the two questions that all blocks ask."""
+    return max(0, even - 2)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 ASK = "part long, task long, number long, keys binary, counts binary"
-TOLD = "task long, number long, part long, digest long, totals binary"
+TOLD = "task long, number long, part long, digest long, totals binary, even long"
 
 #: Keys that one group adds up at a time, more or less.
 RANGE_KEYS = 4_000_000
@@ -96,17 +96,23 @@ def _added(least: int):
         told = 2 * total[place]
         told[first] += total > 0  # the first asker owns the key
         cuts = np.cumsum([0, *map(len, asked)])
+        even = int(((total > 0) & (known & np.uint64(1) == 0)).sum())
         return pa.table({
             "task": asks["task"], "number": asks["number"], "part": asks["part"],
             "digest": pa.array([zlib.crc32(k) for k in packed], pa.int64()),
             "totals": pa.array([narrow(told[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            "even": pa.array([even, *[0] * (len(asked) - 1)], pa.int64()),
         })
 
     return add
 
 
 def totals(asks: DataFrame, least: int = 1) -> DataFrame:
-    """The answers, by block and hash range, to rows of `question`; totals below `least` become 0."""
+    """The answers, by block and hash range, to rows of `question`; totals below `least` become 0.
+
+    The column `even` adds up to the number of distinct even keys with a total, so that an asker who keeps one
+    kind of key even learns how many of that kind there are.
+    """
     return asks.groupBy("part").applyInArrow(_added(least), TOLD)
 
 

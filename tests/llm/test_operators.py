@@ -204,44 +204,80 @@ def test_top_k_of_nothing(spark):
     assert topk.nearest(none, "vec_id", "embedding", F.col("vec_id") % 50 == 0).collect() == []
 
 
-@pytest.mark.parametrize("chunk", [1 << 23, 900])
-def test_language_model_equals_counts(docs, chunk):
+def plain_model(texts, order, backoff):
+    """The chance of a word after a history (None begins a text, "." ends one), by counts of whole n-grams."""
+    count, n = Counter(), 0
+    for w in texts:
+        n += len(w) - 1
+        count[(None,)] += 1
+        for i in range(1, len(w)):
+            for k in range(max(0, i - order + 1), i + 1):
+                count[tuple(w[k : i + 1])] += 1
+    types = sum(len(g) == 1 and g != (None,) for g in count)
+
+    def chance(history, x):
+        p = (count[x,] + 1) / (n + types + 1)
+        for k in range(1, min(order - 1, len(history)) + 1):
+            h = tuple(history[-k:])
+            if count[h]:
+                p = (1 - backoff) * count[h + (x,)] / count[h] + backoff * p
+        return p
+
+    return chance, count, n
+
+
+@pytest.mark.parametrize("order, chunk, stretch", [(3, 12 << 20, 512), (3, 900, 512), (2, 2000, 7), (4, 900, 5), (1, 900, 512)])
+def test_language_model_equals_counts(docs, monkeypatch, order, chunk, stretch):
     train = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
-    found = lm.lm_scores(docs, "doc_id", "text", train, chunk=chunk, parts=5).collect()
-    rows = [(r.doc_id, words_of(r.text) + [None]) for r in docs.collect()]
-    single, double, texts = Counter(), Counter(), 0
-    for i, w in rows:
-        if i is not None and i % 3:
-            single.update(w)
-            double.update(zip([0, *w], w))
-            texts += 1
-    n, v = sum(single.values()), len(single)
+    if stretch != 512:  # workers import the module anew, so this one case reads in the driver
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+    found = lm.lm_scores(docs, "doc_id", "text", train, order=order, chunk=chunk).collect()
+    rows = [(r.doc_id, [None, *words_of(r.text), "."]) for r in docs.collect()]
+    chance, count, n = plain_model([w for i, w in rows if i is not None and i % 3], order, 0.6)
     want = []
     for i, w in rows:
-        base = model = 0.0
-        for h, x in zip([0, *w], w):
-            p = (single[x] + 1) / (n + v + 1)
-            seen = single[h] if h != 0 else texts
-            base += math.log10(p)
-            model += math.log10(0.4 * double[h, x] / seen + 0.6 * p if seen else p)
-        want.append((str(i), len(w), sum(single[x] > 0 for x in w), n, round(base, 3), round(model, 3)))
+        base = sum(math.log10(chance([], x)) for x in w[1:])
+        model = sum(math.log10(chance(w[max(0, k - order + 1) : k], w[k])) for k in range(1, len(w)))
+        want.append((str(i), len(w) - 1, sum(count[x,] > 0 for x in w[1:]), n, round(base, 3), round(model, 3)))
     got = [(str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3), round(r.score, 3)) for r in found]
     assert sorted(got) == sorted(want)
 
 
-def test_longer_ngrams_are_a_distribution():
-    import pyarrow as pa
-
-    texts = pa.array(["a b c a b", "a b d", "b c"])
-    schema = pa.table({"text": texts, "train": pa.array([True] * 3)})
-    words, longer, _, _ = lm._needs(schema, 3)
-    probe = pa.table({"text": pa.array([f"a b {w}" for w in "abcd"] + ["a b", "a b z"]), "train": pa.array([False] * 6)})
-    w, g, grams, at = lm._needs(probe, 3)
-    look = lambda asked, known: (asked[0], np.array([dict(zip(known[0], known[1])).get(k, 0) for k in asked[0]]))
-    scores, _, _ = lm.automaton_scores(grams, at, look(w, words), look(g, longer), tokens=13, types=5, texts=3, backoff=0.6)
-    ends = {k: s for k, s in zip([*"abcd", "", "z"], scores)}
-    # All continuations of "a b": four words, the end, an unknown word; each path ends differently after it.
-    assert all(s < 0 for s in ends.values()) and ends["c"] > ends["z"]
+def block_model(texts, train, order, backoff=0.6):
+    """The automaton over one block that asks itself."""
+    grams = lm.Grams(pa.table({"text": pa.array(texts), "train": pa.array(train)}), order)
+    keys, totals = grams.question()
+    counts, tokens, n = grams.counts(keys, totals)
+    return grams, lm.Automaton(grams, counts, tokens, n, int((counts[0] > 0).sum()), backoff)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_stretches_read_like_whole_texts(monkeypatch, order):
+    rng = np.random.default_rng(order)
+    texts = [" ".join(rng.choice(list("abcdefgh"), int(n))) for n in rng.integers(0, 60, 40)]
+    grams, model = block_model(texts, [i % 4 > 0 for i in range(40)], order)
+    whole = model.read(grams.code[0], grams.at)
+    for stretch in (order, 5, 17):
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+        assert model.read(grams.code[0], grams.at) == pytest.approx(whole)
+    learnt = [[None, *t.split(), "."] for i, t in enumerate(texts) if i % 4]
+    chance, _, _ = plain_model(learnt, order, 0.6)
+    for t, score in zip(texts, whole):
+        w = [None, *t.split(), "."]
+        assert score == pytest.approx(sum(math.log10(chance(w[max(0, k - order + 1) : k], w[k])) for k in range(1, len(w))))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_chances_after_any_history_sum_to_one(order):
+    """Over all known words, the end and one unknown word, in every state."""
+    learnt = ["a b c a b", "a b d", "b c", "a c", "a b c d a b c", ""]
+    probe = [f"{h} {x}" for h in ("", "a", "a b", "b c", "d a b", "z", "a z", "c a") for x in [*"abcd", "", "zz"]]
+    grams, model = block_model(learnt + probe, [True] * len(learnt) + [False] * len(probe), order)
+    word = {t.strip(): grams.code[0][grams.at[i]] for i, t in enumerate(learnt + probe) if len(t.split()) == 1}
+    words = [word[x] for x in "abcd"] + [grams.code[0][grams.at[1] - 1], word["zz"]]
+    for state in range(len(model.failure)):
+        _, logs = model.step(np.full(len(words), state), np.array(words))
+        assert (10 ** logs).sum() == pytest.approx(1)
 
 
 def test_language_model_of_nothing(empty):
