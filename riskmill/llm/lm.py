@@ -9,8 +9,8 @@ right: the state is carried on, failure arcs are followed until the word has an
 begins in a state of its own.
 
 The model is as large as the corpus, so no task holds all of it. Texts are read in blocks of about `chunk` bytes.
-A block asks for the counts of its own n-grams in all training texts (see `tallies`) and builds that part of the
-automaton which its texts can reach. Long texts are read in stretches side by side; a stretch starts in the
+A block asks for the counts of its own n-grams in all training texts (see `tallies`); then it builds, for some
+of its texts after the other, that part of the automaton which they can reach. Long texts are read in stretches side by side; a stretch starts in the
 state that the words just before it lead to, which is the carried state, since states are at most
 `order` - 1 words long.
 
@@ -41,8 +41,8 @@ BEGIN = np.uint64(0x14057B7EF767814F)
 TOKENS, TEXTS = np.uint64(0), np.uint64(2)
 ONE = np.uint64(1)
 
-#: Tokens of a stretch that is read side by side with others.
-STRETCH = 512
+#: Tokens of a stretch that is read side by side with others, and bytes of text that are read with one automaton.
+STRETCH, SLICE = 512, 1 << 22
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -73,39 +73,54 @@ def ngrams(tokens: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 class Grams:
-    """The n-grams of a block. keys: of each length, sorted and distinct; code: of each length, by token, its place
-    among the keys, or -1; at: where each text begins, and the end; train: by token."""
+    """The n-grams of some texts. keys: of each length, sorted and distinct; code: of each length, by token, its place
+    among the keys, or -1; at: where each text begins, and the end."""
 
-    def __init__(self, table: pa.Table, order: int):
-        tokens, at = [], [np.zeros(1, np.int64)]
-        for batch in table.to_batches():
-            for part in slices(batch, "text"):
-                t, a = token_hashes(part.column("text"))
-                at.append(a[1:] + at[-1][-1])
-                tokens.append(t)
-        self.at = np.concatenate(at)
-        self.train = np.repeat(np.asarray(table.column("train").combine_chunks()), np.diff(self.at))
-        self.texts = int(np.asarray(table.column("train").combine_chunks()).sum())
+    def __init__(self, texts: pa.Array, order: int):
+        tokens, self.at = token_hashes(texts)
         self.keys, self.code = [], []
-        for grams in ngrams(np.concatenate(tokens), self.at, order):
+        for grams in ngrams(tokens, self.at, order):
             keys, code = np.unique(grams, return_inverse=True)
             none = int(len(keys) > 0 and keys[0] == 0)
             self.keys.append(keys[none:])
             self.code.append((code - none).astype(np.int32))
 
-    def question(self) -> tuple[np.ndarray, np.ndarray]:
-        """All keys in order, and how often the block's training texts hold each."""
-        keys, counts = [np.array([TOKENS, TEXTS])], [np.array([self.train.sum(), self.texts])]
-        for key, code in zip(self.keys, self.code):
-            keys.append(key)
-            counts.append(np.bincount(code[self.train & (code >= 0)], minlength=len(key)))
-        every, many = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(every, kind="stable")
-        return every[order], many[order]
+    def counts(self, asked: np.ndarray, totals: np.ndarray) -> list[np.ndarray]:
+        """Training's counts of the n-grams of each length, from those that the block asked for."""
+        return [totals[np.searchsorted(asked, k)] for k in self.keys]
+
+
+def question(table: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a block's texts in order, and how often its training texts hold each."""
+    found, tokens, texts = [[] for _ in range(order)], 0, 0
+    for batch in table.to_batches():
+        for part in slices(batch, "text"):
+            hashes, at = token_hashes(part.column("text"))
+            learnt = np.asarray(part.column("train"))
+            train = np.repeat(learnt, np.diff(at))
+            tokens, texts = tokens + int(train.sum()), texts + int(learnt.sum())
+            for n, grams in enumerate(ngrams(hashes, at, order)):
+                found[n].append(_counted(grams[train & (grams != 0)]))
+                others = np.unique(grams[~train & (grams != 0)])
+                found[n].append((others, np.zeros(len(others), np.int64)))
+    parts = [(np.array([TOKENS, TEXTS]), np.array([tokens, texts]))]
+    for n in range(order):
+        parts.append(_merged(found[n]))
+        found[n] = []
+    return _merged(parts)
+
 
-    def counts(self, keys: np.ndarray, totals: np.ndarray) -> tuple[list[np.ndarray], int, int]:
-        """Training's counts of the n-grams of each length, its tokens and its texts."""
-        return [totals[np.searchsorted(keys, k)] for k in self.keys], int(totals[0]), int(totals[1])
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return tallies.counted(keys) if len(keys) else (keys, np.zeros(0, np.int64))
+
+
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, their counts added up."""
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], np.concatenate([c for _, c in parts])[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ ONE))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 class Automaton:
@@ -209,7 +224,7 @@ def _first(code: np.ndarray, size: int) -> np.ndarray:
 def _questions(order: int, chunk: int, parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in chunks(batches, chunk):
-            keys, counts = Grams(table, order).question()
+            keys, counts = question(table, order)
             yield from tallies.question(table.column("task")[0].as_py(), number, keys, counts, parts)
 
     return ask
@@ -242,24 +257,29 @@ def _scored(order: int, backoff: float, types: int, parts: int):
     def score(key: tuple, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             return SCORED.empty_table()
-        table = pa.ipc.open_stream(zstandard.decompress(blocks["block"][0].as_py())).read_all().combine_chunks()
-        grams = Grams(table, order)
-        asked, _ = grams.question()
+        table = pa.ipc.open_stream(zstandard.decompress(blocks["block"][0].as_py())).read_all()
+        asked, _ = question(table, order)
         totals, _ = tallies.answer(answers, asked, parts)
-        counts, tokens, texts = grams.counts(asked, totals)
-        model = Automaton(grams, counts, tokens, texts, types, backoff)
-        sums = lambda x: np.add.reduceat(x[grams.code[0]], grams.at[:-1])
-        known = sums((counts[0] > 0).astype(np.int64))
-        return pa.table([
-            table["id"], pa.array(np.diff(grams.at)), pa.array(known), pa.array(np.full(len(known), tokens)),
-            pa.array(sums(model.single)), pa.array(model.read(grams.code[0], grams.at)),
-        ], schema=SCORED)
+        tokens, texts = int(totals[0]), int(totals[1])
+        out = []
+        for batch in table.to_batches():
+            for part in slices(batch, "text", SLICE):
+                grams = Grams(part.column("text"), order)
+                counts = grams.counts(asked, totals)
+                model = Automaton(grams, counts, tokens, texts, types, backoff)
+                sums = lambda x: np.add.reduceat(x[grams.code[0]], grams.at[:-1])  # noqa: B023, E731
+                known = sums((counts[0] > 0).astype(np.int64))
+                out.append(pa.RecordBatch.from_arrays([
+                    part.column("id"), pa.array(np.diff(grams.at)), pa.array(known), pa.array(np.full(len(known), tokens)),
+                    pa.array(sums(model.single)), pa.array(model.read(grams.code[0], grams.at)),
+                ], schema=SCORED))
+        return pa.Table.from_batches(out, SCORED)
 
     return score
 
 
 def lm_scores(
-    docs: DataFrame, key: str, text: str, train: Column, *, order: int = 3, backoff: float = 0.6, chunk: int = 12 << 20,
+    docs: DataFrame, key: str, text: str, train: Column, *, order: int = 3, backoff: float = 0.6, chunk: int = 16 << 20,
 ) -> DataFrame:
     """Per row: key, n_tokens, n_known, train_tokens, base_score, score. order: longest n-gram."""
     if order < 1 or not 0 < backoff < 1:

@@ -245,10 +245,10 @@ def test_language_model_equals_counts(docs, monkeypatch, order, chunk, stretch):
 
 def block_model(texts, train, order, backoff=0.6):
     """The automaton over one block that asks itself."""
-    grams = lm.Grams(pa.table({"text": pa.array(texts), "train": pa.array(train)}), order)
-    keys, totals = grams.question()
-    counts, tokens, n = grams.counts(keys, totals)
-    return grams, lm.Automaton(grams, counts, tokens, n, int((counts[0] > 0).sum()), backoff)
+    keys, totals = lm.question(pa.table({"text": pa.array(texts), "train": pa.array(train)}), order)
+    grams = lm.Grams(pa.array(texts), order)
+    counts = grams.counts(keys, totals)
+    return grams, lm.Automaton(grams, counts, int(totals[0]), int(totals[1]), int((counts[0] > 0).sum()), backoff)
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
@@ -275,9 +275,16 @@ def test_chances_after_any_history_sum_to_one(order):
     grams, model = block_model(learnt + probe, [True] * len(learnt) + [False] * len(probe), order)
     word = {t.strip(): grams.code[0][grams.at[i]] for i, t in enumerate(learnt + probe) if len(t.split()) == 1}
     words = [word[x] for x in "abcd"] + [grams.code[0][grams.at[1] - 1], word["zz"]]
-    for state in range(len(model.failure)):
+    reached = {0, 1}  # a block has the arcs that its texts reach, so only these histories have all of theirs
+    for h in ("", "a", "a b", "b c", "d a b", "z", "a z", "c a"):
+        state = np.array([1])
+        for x in h.split():
+            state, _ = model.step(state, np.array([word[x if x in "abcd" else "zz"]]))
+        reached.add(int(state[0]))
+    for state in reached - {0}:
         _, logs = model.step(np.full(len(words), state), np.array(words))
         assert (10 ** logs).sum() == pytest.approx(1)
+    assert len(reached) > 4
 
 
 def test_language_model_of_nothing(empty):
