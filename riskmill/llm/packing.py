@@ -1,24 +1,29 @@
 """Best-fit packing of tokenised documents into sequences, in bulk-synchronous rounds.
 
-Documents longer than a sequence are cut into whole sequences, after a shorter first piece. Pieces then go
-through one round per length, longest first. Pieces of a length and the gaps of open sequences stand in
-order of size, as runs of equal ones; a sweep from the smallest gap that is large enough matches pieces
-to gaps: a gap takes as many of the pieces as fit, since it stays the best fit while it does. Which piece
-gets which gap is settled by rank: the n-th piece of the length takes the n-th place. Gaps are updated,
-and what finds none opens new sequences.
-
-There are at most `capacity` lengths and `capacity` sizes of gaps, whatever the number of documents, so a
-round works on runs and the driver holds a bounded plan: (length, first rank, pieces per sequence, first
-sequence, offset). Counting, ranking and placing of pieces are Spark's work: counts combine before the
-shuffle, and ranks within a length are dealt over lanes, so that a length that a third of all pieces
-have is no single task's.
-
-Rules: a NULL text is empty and packs as its end mark alone; repeated rows and NULL ids pack like others.
+Documents longer than a sequence are cut into whole sequences, after a shorter first piece. A piece is known by its
+length and its rank among pieces of that length; a sequence that still has a gap by its number. Both are stored
+tables. In each round
+
+- pieces that are left and gaps are counted by size, and the sizes are put in order;
+- a sweep over these counts (at most `capacity` of each kind, whatever the number of documents) leads pieces,
+  the longest first, to their successors, the smallest gaps that are large enough: a gap takes as many equal pieces as
+  fit, and once per round. The longest of the others open sequences, as many as must be opened anyway: one for each
+  piece longer than half a sequence, and so many that all gaps can hold what is left, or one if nothing fits;
+- conflicts are settled by rank: gaps of a size are ranked, the n-th takes the n-th pieces of the length
+  that the sweep led there, by a join of the table of gaps with the sweep's runs;
+- gaps are updated and stored, and what found none waits for the next round.
+
+Nothing but how many pieces are left reaches the driver. Ranks are dealt over lanes, so that a length or a gap that a
+third of all rows have is no single task's.
+
+Rules: a NULL text is empty and packs as its end mark alone; repeated rows and NULL ids pack like others; an
+empty table gives no pieces.
 """
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -29,11 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskmill.llm.ranks import ranked
-from riskmill.llm.store import stored
+from riskmill.llm.store import release, stored
 from riskmill.llm.text import slices
 
-#: Separators of words in the byte-level vocabulary, a fixed value.
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Words of a byte-level pre-tokenizer with `use_regex`, a fixed value of the file format, in letters that `re` knows.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
+#: Texts of these characters alone are parted alike by every version of the character tables; numerals that are no
+#: digits are left out, since `re` takes them for letters.
+PLAIN = r"[\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]*"
+#: Words whose ids a worker keeps.
+CACHE = 1 << 20
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,28 +54,54 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    """Token ids as little-endian bytes.
+    """Token ids as little-endian bytes, by the tokenizers library.
 
-    A `.json` file is read by the tokenizers library. If the same vocabulary lies beside it as ranks
-    (`.tiktoken`), texts go through these, which gives the same ids in a fraction of the time; only
-    texts that may hold the name of a special token still go through the first.
+    A byte-level BPE without normalizer encodes word by word, so each word goes through the library once and its
+    ids are kept. That holds if the file says so and the text has only characters that are parted
+    alike everywhere, and no added token; any other text goes through the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ranks = Tokenizer.from_file(path), None
-        beside = Path(path).with_suffix(".tiktoken")
-        if beside.exists():
-            import tiktoken
-
-            ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, beside.read_bytes().splitlines())}
-            self.ranks = tiktoken.Encoding(beside.stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(self, text: str) -> bytes:
-        if self.ranks is None or "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        self.tokenizer, self.words = Tokenizer.from_file(path), {}
+        file = json.loads(Path(path).read_text())
+        parts, model = file.get("pre_tokenizer") or {}, file["model"]
+        by_words = (
+            file.get("normalizer") is None and parts.get("type") == "ByteLevel" and parts.get("use_regex", True)
+            and not parts.get("add_prefix_space", True) and model.get("type") == "BPE" and not model.get("dropout")
+            and not file.get("truncation") and not file.get("padding")
+        )
+        added = [re.escape(t["content"]) for t in file.get("added_tokens") or []]
+        self.parts = re.compile(PATTERN).findall if by_words else None
+        self.plain = re.compile(PLAIN).fullmatch
+        self.added = re.compile("|".join(added)).search if added else lambda text: None
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        words = [
+            None if self.parts is None or not self.plain(text) or self.added(text) else self.parts(text) for text in texts
+        ]
+        new = set().union(*(w for w in words if w is not None)).difference(self.words)
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = set().union(*(w for w in words if w is not None))
+        self._learn(list(new))
+        known = self.words.__getitem__
+        return [self._ids(text) if w is None else b"".join(map(known, w)) for text, w in zip(texts, words)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Keeps the ids of words, which go through the library as one list."""
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        data = np.array(found.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(words)))).tolist()
+        start = 0
+        for word, end in zip(words, ends):
+            self.words[word] = data[start:end]
+            start = end
 
 
 @cache
@@ -82,8 +118,9 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    data = encoder(path).encode(text or "") + last
+                texts = [text or "" for text in part.column("text").to_pylist()]
+                for key, data in zip(part.column("id").to_pylist(), encoder(path).encode(texts)):
+                    data += last
                     n = len(data) // 4
                     head = n % capacity or capacity
                     for k, start in enumerate([0, *range(head, n, capacity)]):
@@ -95,65 +132,120 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
     return cut
 
 
-def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
-    """Rows (length, first rank, pieces, pieces per sequence, first sequence, offset), by length and rank."""
-    gaps: dict[int, list[tuple[int, int]]] = {}  # size: runs (first sequence, sequences)
-    plan, opened = [], 0
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        for gap in sorted(g for g in gaps if g >= length):
-            if not left:
-                break
-            each, kept = gap // length, []
-            for first, many in gaps.pop(gap):
-                used = min(many, -(-left // each))
-                if used < many:
-                    kept.append((first + used, many - used))
-                if not used:
-                    continue
-                placed = min(left, used * each)
-                plan.append((length, rank, placed, each, first, capacity - gap))
-                full, over = divmod(placed, each)
-                if full:
-                    gaps.setdefault(gap - each * length, []).append((first, full))
-                if over:
-                    gaps.setdefault(gap - over * length, []).append((first + full, 1))
-                left, rank = left - placed, rank + placed
-            if kept:
-                gaps.setdefault(gap, []).extend(kept)
-        if left:
-            each = capacity // length
-            full, over = divmod(left, each)
-            plan.append((length, rank, left, each, opened, 0))
-            if full:
-                gaps.setdefault(capacity - each * length, []).append((opened, full))
-            if over:
-                gaps.setdefault(capacity - over * length, []).append((opened + full, 1))
-            opened += full + (over > 0)
-        gaps.pop(0, None)
-    return np.array(sorted(plan), np.int64).reshape(-1, 6)
-
-
-def _placed(plan: np.ndarray):
-    lengths, firsts = plan[:, 0], plan[:, 1]
-    base = np.searchsorted(lengths, np.arange(lengths.max(initial=0) + 2))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = np.asarray(batch.column("length")), np.asarray(batch.column("rank"))
-            row = np.zeros(len(length), np.int64)
-            for value in np.unique(length):
-                here = length == value
-                a, b = base[value], base[value + 1]
-                row[here] = a + np.searchsorted(firsts[a:b], rank[here], "right") - 1
-            nth, each = rank - plan[row, 1], plan[row, 3]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names if c != "rank"), pa.array(plan[row, 4] + nth // each),
-                 pa.array(plan[row, 5] + nth % each * length)],
-                [*(c for c in batch.schema.names if c != "rank"), "sequence_id", "offset"],
-            )
-
-    return place
+SWEPT = "kind string, gap long, gap_rank long, gaps long, length long, first long, pieces long, each long"
+
+
+def _successors(sizes: list[int]):
+    """Finds the place of the smallest size that is large enough and not used up; `use` takes one out."""
+    after = list(range(len(sizes) + 1))
+
+    def find(i: int) -> int:
+        while after[i] != i:
+            after[i] = after[after[i]]
+            i = after[i]
+        return i
+
+    def use(i: int) -> None:
+        after[i] = i + 1
+
+    return find, use
+
+
+def sweep(pieces: dict[int, tuple[int, int]], gaps: dict[int, int], capacity: int) -> list[tuple]:
+    """One round over counts. pieces: by length, how many are left and the rank of the first; gaps: by size, how many.
+
+    Runs: (fill, gap, rank of the first gap, gaps, length, rank of the first piece, pieces, pieces per gap); (open, the
+    same of new sequences); (left, length, first rank and pieces that remain).
+    """
+    sizes = sorted(gaps)
+    free = [gaps[s] for s in sizes]
+    find, use = _successors(sizes)
+    runs, left, room = [], [], sum(s * n for s, n in gaps.items())
+    for length in sorted(pieces, reverse=True):
+        many, first = pieces[length]
+        i = find(int(np.searchsorted(sizes, length)))
+        while many and i < len(sizes):
+            each = sizes[i] // length
+            taken = min(free[i], -(-many // each))
+            placed = min(many, taken * each)
+            runs.append(("fill", sizes[i], gaps[sizes[i]] - free[i], taken, length, first, placed, each))
+            many, first, free[i], room = many - placed, first + placed, free[i] - taken, room - placed * length
+            if not free[i]:
+                use(i)
+                i = find(i)
+        if many:
+            left.append((length, many, first))
+    alone = sum(n for length, n, _ in left if 2 * length > capacity)  # no two of these share a sequence
+    lacking = (sum(length * n for length, n, _ in left) - room) // capacity
+    new = max(alone, lacking, int(not runs))
+    for length, many, first in left:
+        opened = min(many, new)
+        new -= opened
+        if opened:
+            runs.append(("open", capacity, 0, opened, length, first, opened, 1))
+        if many > opened:
+            runs.append(("left", 0, 0, 0, length, first + opened, many - opened, 0))
+    return runs
+
+
+def _swept(capacity: int):
+    def sweep_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        pieces = {r["size"]: (r["many"], r["first"]) for r in rows if r["kind"] == "piece"}
+        runs = sweep(pieces, {r["size"]: r["many"] for r in rows if r["kind"] == "gap"}, capacity)
+        names = [c.split()[0] for c in SWEPT.split(", ")]
+        kinds = [pa.string()] + [pa.int64()] * 7
+        columns = zip(*runs) if runs else [[]] * 8
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return sweep_counts
+
+
+def _best_fit(pieces: DataFrame, capacity: int) -> list[DataFrame]:
+    """Tables of placements (sequence, offset, length, rank of the first piece, pieces), one for each round.
+
+    pieces: length, rank. A sequence is numbered by its first piece.
+    """
+    name = (F.col("length") * (1 << 44) + F.col("rank")).alias("sequence")
+    left = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("pieces")).select(
+        "length", F.lit(0).cast("long").alias("first"), "pieces"
+    )
+    gaps, rounds = None, []
+    while True:
+        sizes = left.select(F.lit("piece").alias("kind"), F.col("length").alias("size"), F.col("pieces").alias("many"), "first")
+        if gaps is not None:
+            sizes = sizes.unionByName(gaps.groupBy(F.col("gap").alias("size")).agg(F.count(F.lit(1)).alias("many")).select(
+                F.lit("gap").alias("kind"), "size", "many", F.lit(0).cast("long").alias("first")
+            ))
+        runs = stored(sizes.repartition(1).mapInArrow(_swept(capacity), SWEPT))  # 2 * capacity rows at most
+        # Runs are at most a few times `capacity`, so they can be sent to every task.
+        opened = F.broadcast(runs.filter("kind = 'open'").select(F.col("length").alias("of"), "first", F.col("pieces").alias("all"), "each"))
+        nth = F.col("rank") - F.col("first")
+        now = pieces.join(opened, (F.col("length") == F.col("of")) & (nth >= 0) & (nth < F.col("all")) & (nth % F.col("each") == 0)).select(
+            name, F.lit(capacity).cast("long").alias("gap"), "length", F.col("rank").alias("first"),
+            F.least(F.col("each"), F.col("all") - nth).alias("pieces"),
+        )
+        if gaps is not None:
+            filled = F.broadcast(runs.filter("kind = 'fill'").select(
+                F.col("gap").alias("size"), "gap_rank", "gaps", "length", F.col("first").alias("start"), F.col("pieces").alias("all"), "each"
+            ))
+            nth = F.col("rank") - F.col("gap_rank")
+            now = now.unionByName(ranked(gaps, "gap", ["sequence"]).join(
+                filled, (F.col("gap") == F.col("size")) & (nth >= 0) & (nth < F.col("gaps")), "left"
+            ).select(
+                "sequence", "gap", "length", (F.col("start") + nth * F.col("each")).alias("first"),
+                F.coalesce(F.least(F.col("each"), F.col("all") - nth * F.col("each")), F.lit(0)).cast("long").alias("pieces"),
+            ))
+        used = F.col("pieces") * F.coalesce("length", F.lit(0))
+        now = stored(now.select(
+            "sequence", (F.lit(capacity) - F.col("gap")).alias("offset"), "length", "first", "pieces", (F.col("gap") - used).alias("gap")
+        ))
+        rounds.append(now.filter("pieces > 0"))
+        left = runs.filter("kind = 'left'").select("length", "first", "pieces")
+        shortest = left.agg(F.min("length")).first()[0]
+        if shortest is None:
+            return rounds
+        gaps = now.filter(F.col("gap") >= shortest).select("sequence", "gap")
 
 
 def pack_documents(
@@ -164,13 +256,20 @@ def pack_documents(
     tokenizer: the path of a tokenizer file on every machine.
     """
     columns = "id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    pieces = stored(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
+    cut = stored(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
         _pieces(tokenizer, end, capacity, with_ids), columns
     ))
-    counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
-    plan = best_fit_plan(counts, capacity)
-    placed = ranked(pieces, "length", ["id", "piece", "start", "ids_crc32"]).select(*pieces.columns, "rank")
-    return placed.mapInArrow(_placed(plan), columns + ", sequence_id long, offset long").withColumnRenamed("id", key)
+    pieces = stored(ranked(cut, "length", ["id", "piece", "start", "ids_crc32"]).select(*cut.columns, "rank"))
+    release(cut)
+    every = None
+    for placed in _best_fit(pieces.select("length", "rank"), capacity):
+        every = placed if every is None else every.unionByName(placed)
+    nth = F.posexplode(F.array_repeat(F.lit(0), F.col("pieces").cast("int"))).alias("nth", "_")
+    places = every.select("sequence", "offset", "length", "first", nth).select(
+        "length", (F.col("first") + F.col("nth")).alias("rank"), F.col("sequence").alias("sequence_id"),
+        (F.col("offset") + F.col("nth") * F.col("length")).alias("offset"),
+    )
+    return pieces.join(places, ["length", "rank"]).select(*cut.columns, "sequence_id", "offset").withColumnRenamed("id", key)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

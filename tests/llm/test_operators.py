@@ -351,33 +351,78 @@ def test_packing_keeps_every_token(docs):
     assert len(whole) == len(by_sequence) and all(len(s.ids) == 4 * s.length for s in whole)
 
 
-def test_packing_is_best_fit_by_length():
+def best_fit(lengths, capacity):
+    gaps = []
+    for n in lengths:
+        fits = [g for g in gaps if g >= n]
+        gaps.append((min(fits) if fits else capacity) - n)
+        if fits:
+            gaps.remove(min(fits))
+    return gaps
+
+
+def rounds_of(lengths, capacity):
+    """What the rounds make of pieces: each sequence's gap, and the number of rounds."""
+    left, gaps, rounds = {k: (c, 0) for k, c in Counter(lengths).items()}, [], 0
+    while left:
+        rounds += 1
+        runs = packing.sweep(left, Counter(gaps), capacity)
+        left = {r[4]: (r[6], r[5]) for r in runs if r[0] == "left"}
+        for kind, gap, _, many, length, _, pieces, each in runs:
+            for k in range(many if kind != "left" else 0):
+                if kind == "fill":
+                    gaps.remove(gap)
+                gaps.append(gap - length * min(each, pieces - k * each))
+    return gaps, rounds
+
+
+def test_rounds_pack_no_worse_than_plain_best_fit():
     rng = np.random.default_rng(6)
-    for _ in range(20):
-        lengths = rng.integers(1, 40, int(rng.integers(1, 120)))
-        plan = packing.best_fit_plan({int(k): int(c) for k, c in Counter(lengths.tolist()).items()}, 40)
-        gaps = []  # plain best fit, longest first
-        for n in sorted(lengths, reverse=True):
-            fits = [g for g in gaps if g >= n]
-            gaps.append((min(fits) if fits else 40) - n)
-            if fits:
-                gaps.remove(min(fits))
-        used = set()
-        for _, _, placed, each, first, _ in plan:
-            used |= set(range(first, first + -(-placed // each)))
-        assert len(used) == len(gaps)
+    for trial in range(60):
+        capacity = int(rng.integers(20, 300))
+        lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 400)))
+        lengths = (lengths if trial % 3 else np.maximum(1, lengths // int(rng.integers(1, 9)))).tolist()
+        gaps, rounds = rounds_of(lengths, capacity)
+        assert min(gaps) >= 0 and sum(capacity - g for g in gaps) == sum(lengths)
+        assert len(gaps) <= len(best_fit(lengths, capacity)) + 1
+        longest_first = len(best_fit(sorted(lengths, reverse=True), capacity))
+        assert len(gaps) <= longest_first + 1 + longest_first // 50
+        assert rounds < 60
+
+
+def test_packing_at_the_capacity_of_the_query(spark, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = packing.pack_documents(documents, "doc_id", "text", PATH).collect()
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 2048
+    assert len(used) <= len(best_fit([r.length for r in sorted(rows, key=lambda r: (r.doc_id, r.piece))], 2048))
 
 
 def test_packing_of_nothing(empty):
     assert packing.pack_documents(empty, "doc_id", "text", PATH).collect() == []
 
 
-@pytest.mark.parametrize("text", ["a b", " a\n b\t c", "a  b", "x \n y", "it's  two", "a<|endoftext|>b", "\n\n a", " ", "é ñ,% 12 3"])
-def test_ranks_encode_like_the_tokenizer(text):
+@pytest.mark.parametrize("text", [
+    "a b", " a\n b\t c", "a  b", "x \n y", "it's  two", "a<|endoftext|>b", "\n\n a", " ", "é ñ,% 12 3", "''s 'll", "a\u00a0b",
+    "\x1c a", "x\u0085y", "日本 語", "½²³ª", "", "a\r\nb  ", "\u200b a", "don'T  we'REre",
+])
+def test_words_encode_like_the_whole_text(text):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(packing.encoder(PATH).encode(text), "<u4").tolist() == plain
+    for _ in range(2):
+        assert np.frombuffer(packing.encoder(PATH).encode([text])[0], "<u4").tolist() == plain
+
+
+def test_documents_encode_like_the_whole_text(spark, sf):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    for text, data in zip(texts, packing.encoder(PATH).encode(texts)):
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_license_notices_equal_an_alignment_with_every_template(spark):
