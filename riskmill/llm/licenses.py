@@ -1,13 +1,15 @@
 """License notices in texts, by conditional compression.
 
-Around every cue word a block of text is cut out, as wide as the longest template on both sides; blocks
-that overlap are one. A block is compressed by itself and with each template as raw dictionary; templates
+A template has cues: words of its own of which even the loosest wording that counts must hold one, so many that
+`most_differences` cannot take them all. Around every cue a block of text is cut out, with as many words as the longest
+template may have on both sides; blocks that overlap are one. A block is compressed by itself and with each template as raw dictionary; templates
 are tried in the order of the bytes that they save, all of them, whether they save any or not. They are
 confirmed by their wording: the template's words are aligned with the words of the block, and what is
 missing, added or exchanged is counted and told. The one with the smallest share of differences wins, if
 that is at most `most_differences`. Words that the block lacks bound the differences from below, so templates
-that cannot be confirmed or cannot win are left out exactly. What lies before and after a notice in its block
-is searched again.
+that cannot be confirmed are left out exactly. One pass over a block finds all places of a template; of places
+that overlap the one with the smallest share stays, and what lies between notices is searched again, so
+that the time grows with the text and not with its square.
 
 Each text is worked on by itself in a task, so nothing is shuffled; texts without a cue word are left out by
 a filter before. Blocks that come again in a batch are looked up.
@@ -22,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -69,14 +72,44 @@ TEMPLATES = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
-#: Words of a cue may be wrapped: whatever the alignment ignores may stand between them.
-CUE = r"(?i)licen[cs]|copyright|redistribut|permission|public[^a-zA-Z0-9]+domain|warrant|free[^a-zA-Z0-9]+software"
-WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
+WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", re.IGNORECASE | re.ASCII)
 
 
 def worded(text: str) -> list[tuple[str, int, int]]:
-    """Words with their places: letters and digits, joined by single dots and hyphens; no case."""
-    return [(m[0], m.start(), m.end()) for m in WORD.finditer(text.lower())]
+    """Words with their places: ASCII letters and digits, joined by single dots and hyphens; no case."""
+    return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+
+
+def cues(templates: dict[str, tuple[str, ...]], most_differences: float) -> list[str]:
+    """Words of which every text within `most_differences` of any template has one, the longest words first."""
+    out = set()
+    for text in (t for texts in templates.values() for t in texts):
+        words = Counter(w for w, _, _ in worded(text))
+        most, taken = int(most_differences * words.total()), 0
+        if most >= words.total():
+            raise ValueError("most_differences leaves nothing of a template")
+        for word in sorted(words, key=lambda w: (-len(w), w)):
+            if taken > most:
+                break
+            out.add(word)
+            taken += words[word]
+    return sorted(out)
+
+
+def cue_pattern(templates: dict[str, tuple[str, ...]], most_differences: float) -> str:
+    """The cues as a pattern that Java and Python read alike. Joined words may begin or end with a cue, too."""
+    words = "|".join(re.escape(w) for w in cues(templates, most_differences))
+    return f"(?i)(?<![a-zA-Z0-9])(?:{words})(?![a-zA-Z0-9])" if words else "(?!)"
+
+
+def cheapest_ends(template: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """For every place between words, the differences of the template to the best stretch that ends there."""
+    at = np.arange(len(words) + 1)
+    cost = np.zeros(len(words) + 1, np.int64)
+    for k, want in enumerate(template, 1):
+        row = np.minimum(np.append(k, cost[:-1] + (words != want)), cost + 1)
+        cost = np.minimum.accumulate(row - at) + at
+    return cost
 
 
 def differences(template: list[str], words: list[str]) -> tuple[int, int, int, list[str]]:
@@ -114,7 +147,7 @@ class LicenseScanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], most_differences: float):
         self.most = most_differences
         self.plain = zstandard.ZstdCompressor(level=9)
-        self.cue = re.compile(CUE)
+        self.cues = frozenset(cues(templates, most_differences))
         self.templates = []
         for name, texts in sorted(templates.items()):
             for text in texts:
@@ -126,23 +159,21 @@ class LicenseScanner:
                 known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 compressor = zstandard.ZstdCompressor(level=9, dict_data=known)
                 self.templates.append((name, words, Counter(words), compressor))
-        self.reach = max(len(" ".join(w)) for _, w, _, _ in self.templates) * 3 // 2
+        self.reach = max((int(len(w) * (1 + most_differences)) for _, w, _, _ in self.templates), default=0)
         self.met: dict[str, list] = {}
 
     def blocks(self, text: str) -> list[tuple[int, int]]:
-        """Stretches of text around cue words, at word bounds."""
+        """Stretches of text that hold every notice: so many words around each cue as the longest template may have."""
+        words = worded(text)
         found: list[list[int]] = []
-        for m in self.cue.finditer(text):
-            a, b = max(0, m.start() - self.reach), min(len(text), m.end() + self.reach)
-            while a and not text[a - 1].isspace():
-                a -= 1
-            while b < len(text) and not text[b].isspace():
-                b += 1
-            if found and a <= found[-1][1]:
-                found[-1][1] = b
-            else:
-                found.append([a, b])
-        return [(a, b) for a, b in found]
+        for i, (word, _, _) in enumerate(words):
+            if word in self.cues:
+                a, b = max(0, i - self.reach), min(len(words), i + self.reach + 1)
+                if found and a <= found[-1][1]:
+                    found[-1][1] = b
+                else:
+                    found.append([a, b])
+        return [(words[a][1], words[b - 1][2]) for a, b in found]
 
     def ranked(self, words: list[str]) -> list[tuple[int, str, list[str], int]]:
         """Templates that the words of a block leave possible, by the bytes that they save there; the last
@@ -160,29 +191,46 @@ class LicenseScanner:
         saved = [(alone - len(c.compress(data)), name, template, lacking) for name, template, lacking, c in possible]
         return sorted(saved, key=lambda s: (-s[0], s[1], s[2]))
 
+    def places(self, template: list[str], words: list[str], code: np.ndarray, numbers: dict) -> list[tuple]:
+        """All places of a template in a block that are within reach: differences, first word, word after the last."""
+        cost = cheapest_ends(np.array([numbers.get(w, -1) for w in template]), code)
+        near = np.flatnonzero(cost <= self.most * len(template))
+        out = []
+        for ends in np.split(near, np.flatnonzero(np.diff(near) > 1) + 1):
+            if len(ends):
+                end = int(ends[cost[ends].argmin()])
+                start = max(0, end - 2 * len(template))
+                number, first, stop, told = differences(template, words[start:end])
+                if stop > first and number <= self.most * len(template):
+                    out.append((number, start + first, start + stop, told))
+        return out
+
     def notices(self, block: str) -> list[tuple[int, int, str, int, int, str]]:
         """start, end, license, bytes saved, differences and their wording, for each notice of a block."""
         out, work = [], [(0, len(block))]
         while work:
             a, b = work.pop()
             part = worded(block[a:b])
-            if not part or not self.cue.search(block[a:b]):
-                continue
             words = [w for w, _, _ in part]
-            best = None
-            for saved, name, template, lacking in self.ranked(words):
-                if best is not None and (lacking / len(template), -len(template)) >= best[:2]:
-                    continue
-                number, first, end, told = differences(template, words)
-                share = number / len(template)
-                if share <= self.most and end > first and (best is None or (share, -len(template)) < best[:2]):
-                    best = (share, -len(template), first, end, name, saved, number, told)
-            if best is None:
+            if self.cues.isdisjoint(words):
                 continue
-            _, _, first, end, name, saved, number, told = best
-            start, stop = a + part[first][1], a + part[end - 1][2]
-            out.append((start, stop, name, saved, number, "; ".join(told)))
-            work += [(a, start), (stop, b)]
+            numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+            code = np.array([numbers[w] for w in words])
+            met = []
+            for rank, (saved, name, template, _) in enumerate(self.ranked(words)):
+                for number, first, end, told in self.places(template, words, code, numbers):
+                    met.append((number / len(template), -len(template), rank, first, end, name, saved, number, told))
+            taken = np.zeros(len(words), bool)
+            kept = []
+            for _, _, _, first, end, name, saved, number, told in sorted(met):
+                if not taken[first:end].any():
+                    taken[first:end] = True
+                    kept.append((a + part[first][1], a + part[end - 1][2], name, saved, number, "; ".join(told)))
+            kept.sort()
+            out += kept
+            if kept:
+                edges = [a, *(x for start, stop, *_ in kept for x in (start, stop)), b]
+                work += [(x, y) for x, y in zip(edges[::2], edges[1::2]) if x < y]
         return sorted(out)
 
     def scan(self, text: str) -> list[tuple[int, int, str, int, int, str]]:
@@ -214,7 +262,7 @@ def license_notices(
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    cued = docs.filter(F.col(text).rlike(CUE)).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    cued = docs.filter(F.col(text).rlike(cue_pattern(templates, most_differences))).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     return cued.mapInArrow(
         scan, "id long, start long, end long, license string, bytes_saved long, differences long, wording string"
     ).withColumnRenamed("id", key)

@@ -127,6 +127,14 @@ def mix_documents(
     )
 
 
+def mixed_documents(docs: DataFrame, key: str, source: str, size: Column, weight: Column, **plan) -> DataFrame:
+    """The rows of the mix with the columns of `docs` alone, whatever their names: each as often as it is taken."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")
+    apart = docs.select(whole, F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), weight.alias("weight"))
+    mix = mix_documents(apart, "key", "source", F.col("size"), F.col("weight"), **plan)
+    return mixed_rows(mix, ["document"]).select("document.*")
+
+
 def mixed_rows(mix: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of the mix itself: each document as often as it is taken."""
     return mix.filter("mix_copies > 0").withColumn(

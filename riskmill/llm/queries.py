@@ -193,7 +193,7 @@ WITH parts AS (
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
 ), scores AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)])::BIGINT AS score
-  FROM parts q JOIN parts c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM (SELECT DISTINCT * FROM parts) q JOIN parts c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
   WHERE q.vec_id % 50 = 0
 ), ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score

@@ -5,13 +5,15 @@ and x is at least |d(q, p) - d(x, p)|; the largest of these lower bounds over al
 bound of the inner product, (|q|^2 + |x|^2 - d^2) / 2. Candidates are evaluated in the order of their
 bounds until no bound reaches the k-th best score so far.
 
-Queries and candidates are packed into blocks with their distances to the pivots; each block of
-candidates meets each block of queries in one row of a join. What leaves a row is at most k candidates
+Queries and candidates are packed into blocks with their distances to the pivots. Blocks of candidates are dealt over
+salts, blocks of queries go to every salt, and the tasks that hold the candidates evaluate them, so the work of
+one length is spread over as many tasks as there are shuffle partitions. What leaves a row is at most k candidates
 per query. Pivots are the `pivots` rows with the smallest hash of the id: a fixed number.
 
 Rules: vectors that are NULL, empty or hold NULL or non-finite components take no part, and neither do
-those whose squared norm reaches 2**62, since scores would not fit a long. Vectors of different length
-do not meet. Rows repeated whole count once; a query skips all rows with its own id. NULL ids take no part.
+those with a component whose integer does not fit a long. A score that does not fit a long is an error. Vectors of
+different length do not meet. A repeated row is a candidate each time, but a query once; a query skips all rows
+with its own id. NULL ids take no part. An empty table has no result.
 """
 
 from __future__ import annotations
@@ -42,8 +44,6 @@ def _packed(pivots: dict[int, np.ndarray], size: int):
             for width in np.unique(widths):
                 chosen = np.flatnonzero(widths == width)
                 x = np.asarray(lists.take(pa.array(chosen)).flatten()).reshape(len(chosen), width)
-                fits = (x.astype(float) ** 2).sum(axis=1) < 2.0**62
-                chosen, x = chosen[fits], x[fits]
                 made = [block(ids[chosen[a : a + size]], x[a : a + size]) for a in range(0, len(chosen), size)]
                 if made:
                     yield pa.RecordBatch.from_pylist(made, schema)
@@ -54,7 +54,8 @@ def _packed(pivots: dict[int, np.ndarray], size: int):
 def _best(q_ids, q, q_d, c_ids, c, c_d, k: int, step: int = 64):
     """Exact best k of the candidates for every query: places of queries, ids and scores."""
     small = max(abs(int(a.max(initial=0))) + abs(int(a.min(initial=0))) for a in (q, c)) ** 2 * q.shape[1] < 2**53
-    kind = np.float64 if small else np.int64  # doubles are exact here and much faster
+    kind = np.float64 if small else np.int64  # doubles are exact here and much faster; longs may wrap on the way
+    whole = (np.zeros((0, 0)), np.zeros((0, 0))) if small else (q.astype(float), c.astype(float))
     q, c = q.astype(kind), c.astype(kind)
     q_norm, c_norm = (q.astype(float) ** 2).sum(axis=1), (c.astype(float) ** 2).sum(axis=1)
     out = []
@@ -67,10 +68,12 @@ def _best(q_ids, q, q_d, c_ids, c, c_d, k: int, step: int = 64):
         ids, scores = np.zeros(0, np.int64), np.zeros(0, kind)
         while done < len(order):
             chunk = order[done : done + width]
-            limit = scores[k - 1] if len(scores) >= k else -np.inf
+            limit = float(scores[k - 1]) if len(scores) >= k else -np.inf
             chunk = chunk[(bound[chunk] >= limit) & (bound[chunk] > -np.inf)]
             if not len(chunk):
                 break
+            if not small and np.abs(whole[1][chunk] @ whole[0][i]).max() >= 2.0**63:
+                raise ValueError(f"a score of {q_ids[i]} does not fit a long")
             ids, scores = np.append(ids, c_ids[chunk]), np.append(scores, c[chunk] @ q[i])
             top = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[top], scores[top]
@@ -100,22 +103,29 @@ def nearest(
     pivots: int = 16, block: int = 2048, query_block: int = 512,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates with the highest inner product per query."""
-    whole = vectors.filter(usable(F.col(vector)) & F.col(key).isNotNull()).select(
+    whole = vectors.filter(usable(F.col(vector)) & F.col(key).isNotNull()).filter(
+        F.forall(vector, lambda x: F.abs(x.cast("double") * scale) < F.lit(2.0**63))
+    ).select(
         F.col(key).cast("long").alias("id"), is_query.alias("asks"),
         F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("v"),
-    ).filter(F.forall("v", lambda x: F.abs(x) < F.lit(1 << 31))).dropDuplicates(["id", "v"])
+    )
     chosen: dict[int, list] = {}
     for row in whole.select("v").orderBy(F.xxhash64("id"), "id").limit(pivots).collect():
         chosen.setdefault(len(row.v), []).append(row.v)
     table = {width: np.array(rows, float) for width, rows in chosen.items()}
     columns = "width int, ids binary, x binary, d binary"
-    candidates = whole.select("id", "v").mapInArrow(_packed(table, block), columns)
-    queries = whole.filter("asks").select("id", "v").repartition("id").mapInArrow(_packed(table, query_block), columns)
-    queries = queries.select("width", *(F.col(c).alias(f"q_{c}") for c in ("ids", "x", "d")))
-    # One row per pair of blocks of one length: the stated queries against all rows.
-    met = candidates.join(queries, "width").repartition(F.xxhash64("ids", "q_ids")).mapInArrow(
-        _matched(k), "query_id long, vec_id long, score long"
+    salts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = whole.select("id", "v").mapInArrow(_packed(table, block), columns).withColumn(
+        "salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")
+    )
+    queries = whole.filter("asks").select("id", "v").dropDuplicates(["id", "v"]).repartition("id").mapInArrow(
+        _packed(table, query_block), columns
+    )
+    queries = queries.select(
+        "width", *(F.col(c).alias(f"q_{c}") for c in ("ids", "x", "d")), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     )
+    # The stated queries against all rows: every salt holds its share of the candidates and meets all queries there.
+    met = candidates.join(queries, ["width", "salt"]).mapInArrow(_matched(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"

@@ -546,3 +546,64 @@ def test_a_very_long_labelled_text_shuts_out_no_other(spark):
     model = toxicity.fit_toxicity(frame, labels)
     vile, calm = model.scores(pa.array(["you vile person", "a calm person"]))
     assert vile > 0.5 > calm
+
+
+def test_license_places_are_those_of_the_text(spark):
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    texts = ["İİİİ ﬁ\n" + gpl, "Kelvin \u212a " + gpl, "Use it under the Foo terms.", "nothing"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    templates = {**licenses.TEMPLATES, "Foo": ("Use it under the Foo terms.",)}
+    found = licenses.license_notices(frame, "doc_id", "text", templates=templates).collect()
+    assert {(r.doc_id, r.license, texts[r.doc_id][r.start : r.end]) for r in found} == {
+        (0, "GPL-3.0", gpl.rstrip(".")), (1, "GPL-3.0", gpl.rstrip(".")), (2, "Foo", "Use it under the Foo terms"),
+    }
+
+
+def test_many_notices_take_time_in_proportion():
+    import time
+
+    gpl = "This work is licensed under the GNU General Public License, version 3.\n"
+    seconds = []
+    for many in (100, 800):
+        scanner = licenses.LicenseScanner(licenses.TEMPLATES, 0.15)
+        start = time.process_time()
+        found = scanner.scan(gpl * many)
+        seconds.append(time.process_time() - start)
+        assert [(f[0], f[2], f[4]) for f in found] == [(k * len(gpl), "GPL-3.0", 0) for k in range(many)]
+    assert seconds[1] < 8 * 4 * max(seconds[0], 0.02)
+
+
+def test_every_loose_wording_has_a_cue():
+    rng = np.random.default_rng(2)
+    known = set(licenses.cues(licenses.TEMPLATES, 0.15))
+    for text in (t for texts in licenses.TEMPLATES.values() for t in texts):
+        words = [w for w, _, _ in licenses.worded(text)]
+        for _ in range(30):
+            lost = set(rng.choice(len(words), int(0.15 * len(words)), replace=False).tolist())
+            assert known & {w for i, w in enumerate(words) if i not in lost}
+
+
+def test_licenses_of_nothing(empty):
+    assert licenses.license_notices(empty, "doc_id", "text").collect() == []
+
+
+def test_top_k_of_large_components_and_repeats(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1e8, 1.0]), (2, [3.0, 4.0]), (2, [3.0, 4.0]), (3, [-1e9, 0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 50 == 0, block=2).collect()
+    v = {i: [math.floor(256 * x) for x in np.array(e, "f4").tolist()] for i, e in rows}
+    want = sorted((-sum(a * b for a, b in zip(v[0], v[i])), i) for i, _ in rows if i)
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [
+        (k, i, -s) for k, (s, i) in enumerate(want, 1)
+    ]
+    huge = spark.createDataFrame([(0, [1e12, 1.0]), (1, [1e12, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.nearest(huge, "vec_id", "embedding", F.col("vec_id") == 0).collect()
+
+
+def test_mixed_documents_keep_their_columns(spark):
+    rows = [(i, "a b c d", "s", i, "tag", 7) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size long, mix_tag string, key int")
+    mix = mixing.mixed_documents(frame, "doc_id", "source", mixing.word_count(F.col("text")), mixing.text_quality(F.col("text")))
+    assert mix.columns == frame.columns
+    assert {tuple(r) for r in mix.collect()} == {tuple(r) for r in rows}
