@@ -3,10 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and all documents that the one before kept; all but the last return
 the columns of documents. Learned stages take their labels from the tables in sf_dir.
 
-Rules: a document that a classifier rejects goes; NULL and empty texts are classified like others. Of
-each group of near-duplicates the document with the smallest id stays; rows without an id have no
-group and stay; rows repeated under one id become one. A document that the mix takes several times
-is there as often, and one that it does not take goes.
+Rules: a document that a classifier rejects goes; NULL and empty texts are classified like others. A document is
+an id and a text (known by 64 bits of their hash): rows that share both become one, and rows that share an id alone
+are documents apart. Of each group of near-duplicates the document with the smallest id stays; those without an id
+come last. A document that the mix takes several times is there as often, and one that it does not
+take goes. Extra columns pass through all but the last stage, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -34,17 +35,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that the n-gram Jaccard join links."""
-    groups = shingles.similar_documents(docs, "doc_id", "text", n=5, percent=80)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    mark = "mark"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.xxhash64("doc_id", "text"))  # a document is an id and a text
+    groups = shingles.similar_documents(marked, mark, "text", n=5, percent=80).select(mark, "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(mark)))
+    kept = groups.join(marked.select(mark, "doc_id").distinct(), mark).groupBy("component_id").agg(first.alias("kept"))
+    kept = kept.select(F.col(f"kept.{mark}").alias("kept"))
+    return marked.join(kept, marked[mark] == kept["kept"], "left_semi").dropDuplicates([mark]).drop(mark)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     text = F.col("text")
-    mixed = mixing.mix_documents(docs, "doc_id", "source", mixing.word_count(text), mixing.text_quality(text))
-    return mixing.mixed_rows(mixed, docs.columns)
+    return mixing.mixed_documents(docs, "doc_id", "source", mixing.word_count(text), mixing.text_quality(text))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
