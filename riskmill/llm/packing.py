@@ -42,8 +42,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 #: Texts of these characters alone are parted alike by every version of the character tables; numerals that are no
 #: digits are left out, since `re` takes them for letters.
 PLAIN = r"[\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]*"
-#: Words whose ids a worker keeps.
-CACHE = 1 << 20
+#: Words whose ids a worker keeps, and as many from before, of which those that come again are taken over.
+CACHE = 1 << 17
 
 
 def tokenizer_path(name: str) -> str:
@@ -64,7 +64,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words = Tokenizer.from_file(path), {}
+        self.tokenizer, self.words, self.before = Tokenizer.from_file(path), {}, {}
         file = json.loads(Path(path).read_text())
         parts, model = file.get("pre_tokenizer") or {}, file["model"]
         by_words = (
@@ -87,9 +87,11 @@ class Encoder:
         ]
         new = set().union(*(w for w in words if w is not None)).difference(self.words)
         if len(self.words) + len(new) > CACHE:
-            self.words.clear()
+            self.before, self.words = self.words, {}
             new = set().union(*(w for w in words if w is not None))
-        self._learn(list(new))
+        again = new.intersection(self.before)
+        self.words.update((w, self.before[w]) for w in again)
+        self._learn(list(new - again))
         known = self.words.__getitem__
         return [self._ids(text) if w is None else b"".join(map(known, w)) for text, w in zip(texts, words)]
 
