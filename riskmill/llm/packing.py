@@ -97,7 +97,7 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Keeps the ids of words, which go through the library as one list."""
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0]
         data = np.array(found.ids, "<u4").tobytes()
         ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(words)))).tolist()
         start = 0
