@@ -73,6 +73,10 @@ class Encoder:
             and not file.get("truncation") and not file.get("padding")
         )
         added = [re.escape(t["content"]) for t in file.get("added_tokens") or []]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(1 + max(vocabulary.values(), default=0), np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)  # a byte-level token has one character per byte
         self.parts = re.compile(PATTERN).findall if by_words else None
         self.plain = re.compile(PLAIN).fullmatch
         self.added = re.compile("|".join(added)).search if added else lambda text: None
@@ -98,8 +102,9 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Keeps the ids of words, which go through the library as one list."""
         found = self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0]
-        data = np.array(found.ids, "<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(words)))).tolist()
+        ids = np.array(found.ids, "<u4")
+        data, reach = ids.tobytes(), np.cumsum(self.bytes_of[ids])  # a word's ids are those that make up its bytes
+        ends = (4 * np.searchsorted(reach, np.cumsum([len(w.encode()) for w in words]), "left") + 4).tolist()
         start = 0
         for word, end in zip(words, ends):
             self.words[word] = data[start:end]
