@@ -5,25 +5,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
+
+
+def _digest(df: DataFrame) -> Column:
+    """A hash that equal rows share. Nested columns are left to the comparison of whole rows."""
+    plain = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            plain.append(F.col(f"`{f.name}`") + F.lit(0.0))  # 0.0 and -0.0 are equal
+        elif not isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            plain.append(F.col(f"`{f.name}`"))
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
 
 
 def duplicate_report(df: DataFrame, key: str, entity: str) -> DataFrame:
-    """One row of counts, from one scan.
+    """One row of counts, exact, in two phases.
 
-    Whole rows are grouped once, with a map-side combine that collapses copies before the
-    shuffle; the distinct keys and entities are counted on what is left. A NULL key is no
+    First (key, entity, row digest) are grouped: a row whose group is its own differs from all others.
+    Whole rows are compared only where a group repeats, after a semi join with those groups. A NULL key is no
     key: it counts as a duplicate, and deduplication keeps one row for it.
     """
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
-    totals = copies.agg(
+    digest = _digest(df)
+    groups = df.select(F.col(key).alias("_key"), F.col(entity).alias("_entity"), digest.alias("_digest")).groupBy(
+        "_key", "_entity", "_digest"
+    ).agg(F.count("*").alias("copies"))
+    repeated = groups.filter(F.col("copies") > 1)
+    same = (
+        F.col(key).eqNullSafe(F.col("_key")) & F.col(entity).eqNullSafe(F.col("_entity")) & (F.col("_own") == F.col("_digest"))
+    )
+    compared = df.withColumn("_own", digest).join(repeated, same, "left_semi").groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(
+        F.count("*").alias("_copies")
+    ).agg(F.count("*"))
+    totals = groups.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_raw"),
-        F.count_distinct(key).alias("distinct_key"),
-        F.count_distinct(entity).alias("distinct_entity"),
-        F.count("*").alias("distinct_rows"),
-        F.count_if(F.col(key).isNull()).alias("null_keys"),
+        F.count_distinct("_key").alias("distinct_key"),
+        F.count_distinct("_entity").alias("distinct_entity"),
+        F.count_if(F.col("copies") == 1).alias("alone"),
+        F.count_if(F.col("_key").isNull()).alias("null_keys"),
     )
     rows_after = F.col("distinct_key") + F.when(F.col("null_keys") > 0, 1).otherwise(0)
-    return totals.select(
+    return totals.withColumn("distinct_rows", F.col("alone") + compared.scalar()).select(
         "rows_raw",
         "distinct_key",
         "distinct_entity",

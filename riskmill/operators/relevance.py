@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import FractionalType, NumericType
 
 from riskmill.functions.columns import guarded_corr, is_missing, share
-from riskmill.operators.ordering import union_by_name
-from riskmill.operators.profile import distinct_count, null_profile, rate_by
+from riskmill.operators.profile import distinct_count, rates_for_columns
 from riskmill.operators.reshape import long_form
 from riskmill.spec import TableSpec
 
@@ -136,45 +135,53 @@ def stage_summary(
     Row counts before and after cleaning, the positive share of the labelled raw rows, the
     strongest signal, the sparsest columns, and the extreme categories of each group.
     """
-    def finding(df, metric, name, value):
-        return df.select(
-            F.lit(metric).alias("metric"), name.cast("string").alias("name"),
-            F.round(value.cast("double"), 6).alias("value"),
-        )
-
-    nobody = F.lit(None)
     labelled = F.count_if(F.col(spec.label).isNotNull())
     positives = F.count_if(F.col(spec.label).try_cast("double") == 1)
-    counts = raw.agg(
-        F.count("*").alias("rows"), positives.alias("positives"),
-        share(positives, labelled).alias("rate"),
+    before = raw.agg(
+        F.count("*").alias("rows"), positives.alias("positives"), share(positives, labelled).alias("rate"),
+        F.array(*(
+            F.struct((-F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType))).alias("order"), F.lit(f.name).alias("name"))
+            for f in raw.schema.fields
+        )).alias("missing"),
+    )
+    # One aggregate over (group, category) for all groups; the whole table is a group with one category.
+    rates = rates_for_columns(clean.withColumn("", F.lit("")), ["", *groups], spec.label)
+    ends = rates.groupBy("column").agg(
+        F.max(F.struct("rate", "category")).alias("highest"), F.min(F.struct("rate", "category")).alias("lowest"),
+        F.sum("n").alias("n"),
+    )
+    after = ends.agg(
+        F.max(F.when(F.col("column") == "", F.col("n"))).alias("kept"),
+        F.collect_list(F.when(F.col("column") != "", F.struct("column", "highest", "lowest"))).alias("ends"),
     )
-    kept = clean.agg(F.count("*").alias("rows"))
-    parts = [
-        finding(counts, "rows_raw", nobody, F.col("rows")),
-        finding(counts, "positives", nobody, F.col("positives")),
-        finding(counts, "positive_share", nobody, F.col("rate")),
-        finding(kept, "rows_clean", nobody, F.col("rows")),
-        finding(
-            kept, "share_retained", nobody,
-            share(F.col("rows"), raw.agg(F.count("*")).scalar()),
+    both = before.unionByName(after, allowMissingColumns=True).agg(
+        *(F.max(c).alias(c) for c in ("rows", "positives", "rate", "kept")),
+        *(F.flatten(F.collect_list(c)).alias(c) for c in ("missing", "ends")),
+    )
+
+    def finding(metric, name, value):
+        return F.struct(
+            metric.alias("metric"), name.cast("string").alias("name"), F.round(value.cast("double"), 6).alias("value")
+        )
+
+    nobody, kept = F.lit(None), F.coalesce("kept", F.lit(0))
+    findings = F.concat(
+        F.array(
+            finding(F.lit("rows_raw"), nobody, F.col("rows")), finding(F.lit("positives"), nobody, F.col("positives")),
+            finding(F.lit("positive_share"), nobody, F.col("rate")), finding(F.lit("rows_clean"), nobody, kept),
+            finding(F.lit("share_retained"), nobody, share(kept, F.col("rows"))),
         ),
-    ]
-    sparse = null_profile(raw).limit(sparsest)
-    parts.append(finding(sparse, "sparsest_column", F.col("column"), F.col("null_share")))
+        F.transform(F.slice(F.array_sort("missing"), 1, sparsest), lambda m: finding(
+            F.lit("sparsest_column"), m["name"], share(-m["order"], F.col("rows"))
+        )),
+        *(F.transform("ends", lambda e: finding(
+            F.concat(F.lit(f"{end}_rate_"), e["column"]), e[end]["category"], e[end]["rate"]
+        )) for end in ("highest", "lowest")),
+    )
+    result = both.select(F.inline(findings))
     if correlations is not None:
         strongest = correlations.orderBy(F.abs("correlation").desc(), "feature").limit(1)
-        parts.append(
-            finding(strongest, "strongest_signal", F.col("feature"), F.col("correlation"))
-        )
-    for group in groups:
-        rates = rate_by(clean, group, spec.label)
-        ends = rates.agg(
-            F.max(F.struct("rate", group)).alias("highest"),
-            F.min(F.struct("rate", group)).alias("lowest"),
-        )
-        for end in ("highest", "lowest"):
-            parts.append(finding(
-                ends, f"{end}_rate_{group}", F.col(f"{end}.{group}"), F.col(f"{end}.rate")
-            ))
-    return union_by_name(*parts)
+        result = result.unionByName(strongest.select(F.inline(F.array(
+            finding(F.lit("strongest_signal"), F.col("feature"), F.col("correlation"))
+        ))))
+    return result

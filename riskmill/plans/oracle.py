@@ -591,6 +591,13 @@ def statements() -> dict[str, str]:
         ) + ") SELECT * FROM d WHERE stddev IS NULL OR stddev = 0",
         "corr_target_pairwise": f"{CLEAN} {_correlations('target', SCORED_PREDICTORS)}",
         "corr_target_zero": f"{CLEAN} {_correlations('target', SCORED_PREDICTORS, zero=True)}",
+        "skipped_correlations": f"{TYPED}, t AS (SELECT *, CAST(NULL AS DOUBLE) AS unused FROM typed WHERE {LABEL} IS NOT NULL)"
+        ", facts AS (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, count({c}) AS pairs, min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high,"
+            f" min(CASE WHEN {c} IS NOT NULL THEN {LABEL} END) AS least, max(CASE WHEN {c} IS NOT NULL THEN {LABEL} END) AS most FROM t"
+            for c in [*(c for c in CLEAN_NUMBERS if c != "score"), "unused"]
+        ) + ") SELECT feature, CASE WHEN pairs = 0 THEN 'no values' WHEN low = high THEN 'constant' ELSE 'one class' END AS reason"
+        " FROM facts WHERE pairs = 0 OR low = high OR least = most ORDER BY feature",
         "corr_matrix": _matrix(),
         "histogram_by_label": _histogram(False),
         "histogram_per_class": _histogram(True),

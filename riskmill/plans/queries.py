@@ -361,6 +361,13 @@ def _correlations(loans, nulls):
     return correlation.correlation_with_target(loans, names, LABEL, nulls)
 
 
+@_query
+def skipped_correlations(spark, sf):
+    loans = clean.parse_columns(labelled(spark, sf), LOANS).withColumn("unused", F.lit(None).cast("double"))
+    names = clean.columns_by_type(loans, exclude=["score"])
+    return correlation.skipped_correlations(loans, names, LABEL)
+
+
 @_query
 def corr_matrix(spark, sf):
     return _rounded(correlation.correlation_matrix(cleaned(spark, sf), LOANS.matrix_columns), "r")
@@ -830,7 +837,7 @@ def compare_models(spark, sf):
         best = curves.best_threshold(
             curves.threshold_sweep(models.score(model, val, [LABEL]), LABEL, "score")
         )
-        rows = models.score(model, test, [LABEL])
+        rows = cut_lineage(models.score(model, test, [LABEL]))  # read by the sweep, both evaluations and the areas
         areas = curves.curve_areas(rows, LABEL, "score")
         size = profile.row_count(train)
         plain.append(report.evaluate(

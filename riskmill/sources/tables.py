@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StructType
 
 
+#: Rows that one file, written by one task, may have.
+SMALL_ROWS = 100_000
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -65,7 +69,12 @@ def write_parquet_table(df: DataFrame, path: str) -> None:
 
 
 def write_result(df: DataFrame, path: str, small: bool = True) -> None:
-    """Result table as CSV; ``small`` results, bounded by categories or columns, get one file."""
+    """Result table as CSV; ``small`` results, bounded by categories or columns, get one file.
+
+    More than `SMALL_ROWS` rows are no small result: that raises before anything is written.
+    """
+    if small and df.select(F.lit(1)).limit(SMALL_ROWS + 1).count() > SMALL_ROWS:
+        raise ValueError(f"more than {SMALL_ROWS} rows; write them with small=False")
     write_csv_table(df.coalesce(1) if small else df, path)
 
 

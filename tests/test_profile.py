@@ -185,3 +185,41 @@ def test_nan_and_infinity_are_missing_in_histograms_and_correlations(spark):
     r = correlation_with_target(finite, ["x"], "label").collect()
     plain = correlation_with_target(finite.filter("NOT isnan(x)"), ["x"], "label").collect()
     assert r == plain
+
+
+def test_duplicates_are_compared_exactly(spark):
+    nan = float("nan")
+    data = [
+        (1, 1, 0.0, [1]), (1, 1, -0.0, [1]), (1, 1, 0.0, [2]), (2, None, nan, None), (2, None, nan, None),
+        (None, 3, 1.0, [1]), (None, 3, 1.0, [1]), (4, 3, None, [1]),
+    ]
+    df = spark.createDataFrame(data, "k long, e long, x double, a array<long>")
+    report = dedup.duplicate_report(df, "k", "e").first()
+    assert report.rows_raw - report.identical_rows == df.distinct().count() == 5
+    assert (report.distinct_key, report.distinct_entity, report.rows_after) == (3, 2, 4)
+
+
+def test_skipped_columns_have_a_reason(spark):
+    df = spark.createDataFrame(
+        [(1.0, None, 5.0, 1.0, 0), (2.0, None, 5.0, None, 1), (3.0, None, 5.0, None, None), (4.0, float("nan"), 5.0, 2.0, 0)],
+        "ok double, none double, same double, oneclass double, y int",
+    )
+    found = rows(correlation.skipped_correlations(df, ["ok", "none", "same", "oneclass"], "y"))
+    assert [tuple(r) for r in found] == [("none", "no values"), ("oneclass", "one class"), ("same", "constant")]
+    kept = rows(correlation.correlation_with_target(df, ["ok", "none", "same", "oneclass"], "y"))
+    assert [r[0] for r in kept] == ["ok"]
+
+
+def test_wide_matrix_equals_pairs(spark):
+    import numpy as np
+
+    data = np.random.default_rng(1).normal(1e6, 1, (300, 100))
+    data[:, 7] = data[:, 3] * 2
+    data[:, 9] = 4.0
+    names = [f"c{i}" for i in range(100)]
+    df = spark.createDataFrame(data.tolist(), ", ".join(f"{n} double" for n in names))
+    got = {(r.row_name, r.col_name): r.r for r in correlation.correlation_matrix(df, names).collect()}
+    want = np.corrcoef(np.delete(data, 9, axis=1), rowvar=False)
+    left = [n for n in names if n != "c9"]
+    assert len(got) == 10_000 and all(got["c9", n] is None for n in names)
+    assert all(abs(got[a, b] - want[i, j]) < 1e-6 for i, a in enumerate(left) for j, b in enumerate(left))

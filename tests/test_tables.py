@@ -39,3 +39,13 @@ def test_prediction_sample_is_first_by_key(spark):
     df = spark.range(50).selectExpr("id AS k", "id % 2 AS y").repartition(7)
     sample = tables.prediction_sample(df, ["y"], ["k"], n=3)
     assert [r["y"] for r in sample.collect()] == [0, 1, 0]
+
+
+def test_small_results_have_a_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_ROWS", 10)
+    tables.write_result(spark.range(10), f"{tmp_path}/ten")
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        tables.write_result(spark.range(11), f"{tmp_path}/eleven")
+    assert not (tmp_path / "eleven").exists()
+    tables.write_result(spark.range(11), f"{tmp_path}/eleven", small=False)
+    assert spark.read.csv(f"{tmp_path}/eleven", header=True).count() == 11
