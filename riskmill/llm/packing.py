@@ -42,8 +42,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 #: Texts of these characters alone are parted alike by every version of the character tables; numerals that are no
 #: digits are left out, since `re` takes them for letters.
 PLAIN = r"[\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]*"
-#: Words whose ids a worker keeps, and as many from before, of which those that come again are taken over.
-CACHE = 1 << 17
+#: Words whose ids a task keeps, and as many from before, of which those that come again are taken over.
+CACHE = 1 << 16
 
 
 def tokenizer_path(name: str) -> str:
@@ -99,6 +99,10 @@ class Encoder:
         known = self.words.__getitem__
         return [self._ids(text) if w is None else b"".join(map(known, w)) for text, w in zip(texts, words)]
 
+    def forget(self) -> None:
+        """Gives the memory of known words back: a worker may go on to other work."""
+        self.words, self.before = {}, {}
+
     def _learn(self, words: list[str]) -> None:
         """Keeps the ids of words, which go through the library as one list."""
         found = self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0]
@@ -135,6 +139,7 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
                         ids = data[4 * start : 4 * (start + length)]
                         rows.append((key, k, start, length, zlib.crc32(ids)) + (ids,) * with_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+        encoder(path).forget()
 
     return cut
 
