@@ -22,12 +22,10 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
-import json
 import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +41,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 #: digits are left out, since `re` takes them for letters.
 PLAIN = r"[\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]*"
 #: Words whose ids a task keeps, and as many from before, of which those that come again are taken over.
-CACHE = 1 << 16
+CACHE = 1 << 17
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,7 +55,7 @@ class Encoder:
     """Token ids as little-endian bytes, by the tokenizers library.
 
     A byte-level BPE without normalizer encodes word by word, so each word goes through the library once and its
-    ids are kept. That holds if the file says so and the text has only characters that are parted
+    ids are kept. That holds if the tokenizer is made so and the text has only characters that are parted
     alike everywhere, and no added token; any other text goes through the library as a whole.
     """
 
@@ -65,18 +63,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words, self.before = Tokenizer.from_file(path), {}, {}
-        file = json.loads(Path(path).read_text())
-        parts, model = file.get("pre_tokenizer") or {}, file["model"]
+        parts, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
         by_words = (
-            file.get("normalizer") is None and parts.get("type") == "ByteLevel" and parts.get("use_regex", True)
-            and not parts.get("add_prefix_space", True) and model.get("type") == "BPE" and not model.get("dropout")
-            and not file.get("truncation") and not file.get("padding")
+            self.tokenizer.normalizer is None and type(parts).__name__ == "ByteLevel" and parts.use_regex
+            and not parts.add_prefix_space and type(model).__name__ == "BPE" and not model.dropout
+            and self.tokenizer.truncation is None and self.tokenizer.padding is None
         )
-        added = [re.escape(t["content"]) for t in file.get("added_tokens") or []]
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(1 + max(vocabulary.values(), default=0), np.int64)
-        for token, number in vocabulary.items():
-            self.bytes_of[number] = len(token)  # a byte-level token has one character per byte
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # A byte-level token has one character per byte.
+        size = self.tokenizer.get_vocab_size()
+        self.bytes_of = np.fromiter((len(self.tokenizer.id_to_token(i) or "") for i in range(size)), np.int64, size)
         self.parts = re.compile(PATTERN).findall if by_words else None
         self.plain = re.compile(PLAIN).fullmatch
         self.added = re.compile("|".join(added)).search if added else lambda text: None
@@ -127,7 +123,7 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
         names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 rows = []
                 texts = [text or "" for text in part.column("text").to_pylist()]
                 for key, data in zip(part.column("id").to_pylist(), encoder(path).encode(texts)):
