@@ -24,9 +24,11 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -42,8 +44,16 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 #: Texts of these characters alone are parted alike by every version of the character tables; numerals that are no
 #: digits are left out, since `re` takes them for letters.
 PLAIN = r"[\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]*"
-#: Words whose ids a worker keeps.
-CACHE = 1 << 20
+#: Words whose ids a task keeps at once, and how many of them, those that came first, the worker's next task still has.
+CACHE, FIRST = 1 << 19, 1 << 17
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: the printable ones of Latin-1 stand for themselves,
+    the others for letters from 256 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = sorted(set(range(256)).difference(printable))
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,18 +63,43 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Words(dict):
+    """The ids of words as little-endian bytes, found when first asked for; at most `CACHE` are kept."""
+
+    def __init__(self, model):
+        self.tokenize, self.letters = model.tokenize, byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE:
+            self.shrink()
+        if word.isascii() and word.isprintable():
+            letters = word.replace(" ", self.letters[0x20])
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(letters)]
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def shrink(self) -> None:
+        """Gives back all but the words that came first, which are the frequent ones."""
+        first = dict(islice(self.items(), FIRST))
+        self.clear()
+        self.update(first)
+
+
 class Encoder:
     """Token ids as little-endian bytes, by the tokenizers library.
 
-    A byte-level BPE without normalizer encodes word by word, so each word goes through the library once and its
-    ids are kept. That holds if the file says so and the text has only characters that are parted
+    A byte-level BPE without normalizer encodes word by word, so each word goes through the library's model once and its
+    ids are kept for the task. That holds if the file says so and the text has only characters that are parted
     alike everywhere, and no added token; any other text goes through the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words = Words(self.tokenizer.model)
         file = json.loads(Path(path).read_text())
         parts, model = file.get("pre_tokenizer") or {}, file["model"]
         by_words = (
@@ -77,31 +112,11 @@ class Encoder:
         self.plain = re.compile(PLAIN).fullmatch
         self.added = re.compile("|".join(added)).search if added else lambda text: None
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        words = [
-            None if self.parts is None or not self.plain(text) or self.added(text) else self.parts(text) for text in texts
-        ]
-        new = set().union(*(w for w in words if w is not None)).difference(self.words)
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = set().union(*(w for w in words if w is not None))
-        self._learn(list(new))
-        known = self.words.__getitem__
-        return [self._ids(text) if w is None else b"".join(map(known, w)) for text, w in zip(texts, words)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Keeps the ids of words, which go through the library as one list."""
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        data = np.array(found.ids, "<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(words)))).tolist()
-        start = 0
-        for word, end in zip(words, ends):
-            self.words[word] = data[start:end]
-            start = end
+    def encode(self, text: str) -> bytes:
+        """The ids of a text."""
+        if self.parts is None or not self.plain(text) or self.added(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, self.parts(text)))
 
 
 @cache
@@ -115,19 +130,21 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
         last = np.array([end], "<u4").tobytes()
         names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows = []
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                for key, data in zip(part.column("id").to_pylist(), encoder(path).encode(texts)):
-                    data += last
-                    n = len(data) // 4
-                    head = n % capacity or capacity
-                    for k, start in enumerate([0, *range(head, n, capacity)]):
-                        length = capacity if k else head
-                        ids = data[4 * start : 4 * (start + length)]
-                        rows.append((key, k, start, length, zlib.crc32(ids)) + (ids,) * with_ids)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    rows = []
+                    for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                        data = encoder(path).encode(text or "") + last
+                        n = len(data) // 4
+                        head = n % capacity or capacity
+                        for k, start in enumerate([0, *range(head, n, capacity)]):
+                            length = capacity if k else head
+                            ids = data[4 * start : 4 * (start + length)]
+                            rows.append((key, k, start, length, zlib.crc32(ids)) + (ids,) * with_ids)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+        finally:
+            encoder(path).words.shrink()  # a worker that goes on with other stages holds little
 
     return cut
 
