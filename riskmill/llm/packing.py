@@ -112,8 +112,11 @@ class Encoder:
         self.plain = re.compile(PLAIN).fullmatch
         self.added = re.compile("|".join(added)).search if added else lambda text: None
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        return [self._ids(text) for text in texts]
+
+    def _ids(self, text: str) -> bytes:
         if self.parts is None or not self.plain(text) or self.added(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, self.parts(text)))
@@ -134,8 +137,9 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
             for batch in batches:
                 for part in slices(batch, "text"):
                     rows = []
-                    for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                        data = encoder(path).encode(text or "") + last
+                    texts = [text or "" for text in part.column("text").to_pylist()]
+                    for key, data in zip(part.column("id").to_pylist(), encoder(path).encode(texts)):
+                        data += last
                         n = len(data) // 4
                         head = n % capacity or capacity
                         for k, start in enumerate([0, *range(head, n, capacity)]):
