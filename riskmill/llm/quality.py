@@ -168,7 +168,7 @@ def fit_trees(
 
 def _sliced(texts: pa.Array, function) -> np.ndarray:
     return np.concatenate(
-        [function(part.column(0)) for part in slices(pa.record_batch([texts], ["text"]), "text", SLICE)]
+        [function(part.column(0)) for part in slices(pa.record_batch([texts], ["text"]), "text", SLICE // 4)]
     )
 
 

@@ -46,6 +46,8 @@ IDENTITY_TERMS = (
 
 #: Lengths in bytes of the beginnings that are features of longer words.
 PREFIXES = (4, 5, 6)
+#: Bytes of text whose features are held at once.
+PART = SLICE // 4
 SENTENCE_END = np.zeros(256, bool)
 SENTENCE_END[[0x0A, 0x21, 0x2E, 0x3F]] = True
 
@@ -76,7 +78,7 @@ def labelled_features(groups=IDENTITY_TERMS):
     @arrow_udf("struct<features: array<long>, terms: array<int>>")
     def features_of(texts: pa.Array) -> pa.Array:
         parts = []
-        for part in slices(pa.record_batch([texts], ["text"]), "text"):
+        for part in slices(pa.record_batch([texts], ["text"]), "text", PART):
             words = Words(part.column(0), NOT_WORD)
             text, feature = word_features(words)
             pairs = np.unique(np.stack([text.astype(np.uint64), feature]), axis=1)
@@ -106,7 +108,7 @@ class ToxicityModel:
     def scores(self, texts: pa.Array) -> np.ndarray:
         """The probability of each text, from the whole of it."""
         out = []
-        for part in slices(pa.record_batch([texts], ["text"]), "text", SLICE):
+        for part in slices(pa.record_batch([texts], ["text"]), "text", PART):
             z = np.full(part.num_rows, self.bias)
             if len(self.features):
                 text, feature = word_features(Words(part.column(0), NOT_WORD))
