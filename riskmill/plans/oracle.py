@@ -628,6 +628,12 @@ def statements() -> dict[str, str]:
         f" AS fraction FROM c) SELECT {KEY}, {LABEL} FROM train, f WHERE {LABEL} = 1"
         f" OR {_hash('|undersample')} < fraction",
         "index_categories": _indexed(),
+        "index_by_table": _indexed(),
+        "category_codes": f"{PREPARED} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", {c} AS level, count(*) AS n,"
+            f" row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS code FROM prepared GROUP BY {c}"
+            for c in LOANS.categorical
+        ),
         "one_hot": f"{PREPARED} {_slots('prepared', [])}",
         "assemble": f"{TYPED}, complete AS (SELECT * FROM typed WHERE "
         + " AND ".join(f"{c} IS NOT NULL" for c in LOANS.numeric)

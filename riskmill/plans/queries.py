@@ -501,6 +501,18 @@ def index_categories(spark, sf):
     return indexed.select(KEY, *[f"{c}_idx" for c in LOANS.categorical])
 
 
+@_query
+def index_by_table(spark, sf):
+    rows = prepared(spark, sf).select(KEY, *LOANS.categorical)
+    indexed = encode.with_codes(rows, encode.category_codes(rows, LOANS.categorical), LOANS.categorical)
+    return indexed.select(KEY, *[f"{c}_idx" for c in LOANS.categorical])
+
+
+@_query
+def category_codes(spark, sf):
+    return encode.category_codes(prepared(spark, sf), LOANS.categorical)
+
+
 @_query
 def one_hot(spark, sf):
     rows = prepared(spark, sf).select(*LOANS.categorical)
