@@ -106,16 +106,18 @@ def tree_nodes(model: PipelineModel, df: DataFrame) -> DataFrame:
 def tree_margins(df: DataFrame, nodes: DataFrame, key: Sequence[str], values: str, levels: int) -> DataFrame:
     """Per key: the weighted sum of the leaves that a row reaches, and the sum of the trees' weights.
 
-    values: an array column, by slot. levels: of the deepest tree. A leaf has a slot of -1.
+    values: an array column, by slot. levels: of the deepest tree. A leaf has a slot of -1. The nodes are sent to
+    every task: a row becomes one per tree, so estimates of either side say little, and shuffling that side for every
+    level would cost more than any forest that was fitted.
     """
     fields = ["tree", "node", "slot", "threshold", "left", "right", "value", "weight"]
     roots = nodes.filter(F.col("node") == 0).agg(F.collect_list(F.struct(*fields))).scalar()  # one per tree
     at = df.select(*key, F.col(values).alias("_values"), F.explode(roots).alias("_root")).select(*key, "_values", "_root.*")
-    steps = nodes.select(
+    steps = F.broadcast(nodes.select(
         F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("slot").alias("_slot"),
         F.col("threshold").alias("_threshold"), F.col("left").alias("_left"), F.col("right").alias("_right"),
         F.col("value").alias("_value"),
-    )
+    ))
     for _ in range(levels):
         down = F.when(F.col("slot") < 0, F.col("node")).when(
             F.get("_values", F.col("slot")) <= F.col("threshold"), F.col("left")

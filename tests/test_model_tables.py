@@ -106,3 +106,33 @@ def test_curves_store_nothing(spark):
     table = spark.range(30).selectExpr("id / 10 AS s", "id % 2 AS y")
     plan = curves.roc_points(table, "y", "s")._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" not in plan
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    """A limit that estimates of aggregates exceed and tables of some rows do not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50KB")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_stay_where_they_are_on_their_way_down_a_forest(spark, small_broadcasts):
+    numbers = spark.range(20_000).selectExpr("id % 3 AS tree", "cast(id % 7 AS int) AS n", "id")
+    nodes = numbers.groupBy("tree", F.col("n").alias("node")).agg(F.count("*").cast("double").alias("mass"), F.max("id").alias("m"))
+    inner = F.col("node") < 3
+    nodes = nodes.select(
+        "tree", "node", F.when(inner, 0).otherwise(-1).alias("slot"), F.when(inner, 0.5).alias("threshold"),
+        F.when(inner, 2 * F.col("node") + 1).otherwise(-1).alias("left"),
+        F.when(inner, 2 * F.col("node") + 2).otherwise(-1).alias("right"),
+        F.col("node").cast("double").alias("value"), F.lit(1.0).alias("weight"),
+    )
+    rows = spark.range(50).select("id", F.array((F.col("id") % 2).cast("double")).alias("values"))
+    margins = model_tables.tree_margins(rows, nodes, ["id"], "values", 2)
+    assert {(r.id % 2, r.margin, r.weights) for r in margins.collect()} == {(0, 9.0, 3.0), (1, 18.0, 3.0)}
+    plan = final_plan(margins)
+    assert "BuildLeft" not in plan and "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
