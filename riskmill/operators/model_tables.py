@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.operators.encode import feature_names
-from riskmill.session import scratch_path
+from riskmill.session import scratch_path, sized
 from riskmill.spec import TableSpec
 
 WEIGHTS = "column string, level string, weight double"
@@ -52,8 +52,10 @@ def linear_scores(
 ) -> DataFrame:
     """The kept columns and the probability of class 1 by a table of weights.
 
-    A level without a weight has that of the unknown level, or none.
+    A level without a weight has that of the unknown level, or none. The weights are stored once, so that their
+    size decides on broadcasting.
     """
+    weights = sized(weights, "weights")
     margin = F.coalesce(weights.filter(F.col("column").isNull()).select("weight").scalar(), F.lit(0.0))
     plain = weights.filter(F.col("level").isNull() & F.col("column").isNotNull()).agg(
         F.map_from_entries(F.collect_list(F.struct("column", "weight")))

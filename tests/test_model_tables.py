@@ -136,3 +136,14 @@ def test_rows_stay_where_they_are_on_their_way_down_a_forest(spark, small_broadc
     assert {(r.id % 2, r.margin, r.weights) for r in margins.collect()} == {(0, 9.0, 3.0), (1, 18.0, 3.0)}
     plan = final_plan(margins)
     assert "BuildLeft" not in plan and "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
+def test_few_weights_do_not_shuffle_the_rows(spark, small_broadcasts):
+    base = spark.range(20_000).selectExpr("concat('l', id % 5) AS level", "cast(id % 5 AS double) AS w")
+    weights = base.groupBy("level").agg(F.max("w").alias("weight")).select(F.lit("c").alias("column"), "level", "weight")
+    rows = spark.range(100).selectExpr("id", "concat('l', id % 6) AS c")
+    found = model_tables.linear_scores(rows, weights, [], ["c"], ["id"])
+    got = {r.id: r.score for r in found.collect()}
+    assert got[5] == 0.5 and got[4] == pytest.approx(1 / (1 + 2.718281828459045 ** -4))
+    start = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in start and "SortMergeJoin" not in start
