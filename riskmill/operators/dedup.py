@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StringType, StructType
+
+#: Slots of the marks of digests that repeat (a power of two); 64 share a row, so at most 2**20 rows are broadcast.
+SLOTS = 1 << 26
 
 
 def _digest(df: DataFrame) -> Column:
-    """A hash that equal rows share. Nested columns are left to the comparison of whole rows."""
+    """A hash that equal rows share. Nested columns, and text compared by a collation, are left to the comparison of whole rows."""
     plain = []
     for f in df.schema.fields:
+        if isinstance(f.dataType, StringType) and not f.dataType.isUTF8BinaryCollation():
+            continue
         if isinstance(f.dataType, (DoubleType, FloatType)):
             plain.append(F.col(f"`{f.name}`") + F.lit(0.0))  # 0.0 and -0.0 are equal
         elif not isinstance(f.dataType, (ArrayType, MapType, StructType)):
@@ -61,9 +66,35 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def _repeats_apart(df: DataFrame, names: Sequence[str], resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All rows whose digest of the named columns no other row has, and ``resolve`` of the others.
+
+    Only digests are shuffled, and the whole rows that repeat. Digests that repeat set one of ``SLOTS`` bits, so what
+    every task gets is bounded; a row that meets another's bit is resolved too, which changes nothing. The rows
+    are computed three times, and have to be the same each time.
+    """
+    digest = _digest(df.select(*(F.col(f"`{c}`") for c in names)))
+    repeated = df.select(digest.alias("_digest")).groupBy("_digest").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+
+    def place(value):
+        slot = F.pmod(value, F.lit(SLOTS))
+        return F.shiftright(slot, 6), (slot % 64).cast("int")
+
+    word, bit = place(F.col("_digest"))
+    marks = F.broadcast(repeated.groupBy(word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_marks")
+    ))
+    word, bit = place(digest)
+    placed = df.select(*(F.col(f"`{c}`") for c in df.columns), word.alias("_word"), bit.alias("_bit"))
+    alone = placed.join(marks, "_word", "left").filter(F.coalesce(F.getbit("_marks", "_bit"), F.lit(0)) == 0)
+    others = placed.join(marks, "_word").filter(F.getbit("_marks", "_bit") == 1)
+    plain = [F.col(f"`{c}`") for c in df.columns]
+    return alone.select(*plain).union(resolve(others.select(*plain)))
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows."""
-    return df.dropDuplicates()
+    """Distinct rows. Whole rows are shuffled and compared only where their digest repeats."""
+    return _repeats_apart(df, df.columns, lambda rows: rows.dropDuplicates())
 
 
 def dedup_by_key(
@@ -71,12 +102,14 @@ def dedup_by_key(
 ) -> DataFrame:
     """One row per key: the first by ``order_by``, then by all columns, so reruns agree.
 
-    Spark limits each group to one row before the shuffle (WindowGroupLimit), so a key that
-    holds a large part of the table sends one row per task. With ``order_by=None`` any row
-    may survive, which saves the sort.
+    Only rows whose key repeats are shuffled and sorted. Spark limits each group to one row before the shuffle
+    (WindowGroupLimit), so a key that holds a large part of the table sends one row per task. With ``order_by=None``
+    any row may survive, which saves the sort.
     """
     if order_by is None:
         return df.dropDuplicates([key])
     order = [*order_by, *[F.col(c) for c in df.columns if c != key]]
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return _repeats_apart(
+        df, [key], lambda rows: rows.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    )
