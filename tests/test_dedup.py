@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from riskmill.operators import dedup
+from riskmill.operators import dedup, split
+from riskmill.plans import queries
 
 SCHEMA = "k long, o long, d double, t string, a array<int>"
 ROWS = [
@@ -60,3 +61,10 @@ def test_rows_that_do_not_repeat_are_not_shuffled(spark, of):
     wide = [rows for columns, rows in shuffled_rows(of(df)) if columns >= 9]
     assert sum(wide) <= 12
     assert of(df).count() == 3000
+
+
+def test_parts_are_written_without_a_sort(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("id"), (F.col("id") % 2).alias("default_ind"))
+    stored = queries._stored_split(rows, "parts")
+    assert stored.groupBy("split").count().count() == len(split.PARTS) and stored.count() == 1000
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= len(split.PARTS)
