@@ -147,3 +147,8 @@ def test_few_weights_do_not_shuffle_the_rows(spark, small_broadcasts):
     assert got[5] == 0.5 and got[4] == pytest.approx(1 / (1 + 2.718281828459045 ** -4))
     start = found._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in start and "SortMergeJoin" not in start
+
+
+def test_large_searches_hold_fewer_copies_at_once():
+    search = models.Search({"regParam": [0.1]}, folds=3)
+    assert [models._threads(search, n) for n in (0, 1000, 6_000_000, 20_000_000)] == [8, 8, 2, 1]
