@@ -152,3 +152,8 @@ def test_few_weights_do_not_shuffle_the_rows(spark, small_broadcasts):
 def test_large_searches_hold_fewer_copies_at_once():
     search = models.Search({"regParam": [0.1]}, folds=3)
     assert [models._threads(search, n) for n in (0, 1000, 6_000_000, 20_000_000)] == [8, 8, 2, 1]
+
+
+def test_linear_fits_have_bounded_partitions():
+    assert [models._partitions("logistic", n) for n in (0, 100_000, 10**9)] == [1, 6, 512]
+    assert [models._partitions("forest", n) for n in (0, 100_000, 20_000_000)] == [1, 6, 1001]
