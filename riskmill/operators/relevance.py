@@ -77,21 +77,23 @@ def feature_relevance(
         .when(F.col("uniqueness") > 0.5, "nearly unique")
         .otherwise("weak signal").alias("weakness"),
     )
-    most = signals.filter(F.col("correlation").isNotNull()).select(
-        F.lit("most").alias("kind"), "feature", F.abs("correlation").alias("measure"),
-        F.when(F.col("correlation") < 0, "falls with it").otherwise("rises with it").alias("reason"),
-        F.lit(0.0).alias("tie"),
-    )
-    least = signals.select(
-        F.lit("least").alias("kind"), "feature", F.col("emptiness").alias("measure"),
-        F.col("weakness").alias("reason"),
-        F.coalesce(F.abs("correlation"), F.lit(0.0)).alias("tie"),
-    )
+    strength = F.abs("correlation")
+    # Both kinds come from one row, since a union of two branches would scan and count the table for each.
+    both = signals.select(F.inline(F.array(
+        F.struct(
+            F.lit("most").alias("kind"), "feature", strength.alias("measure"),
+            F.when(F.col("correlation") < 0, "falls with it").otherwise("rises with it").alias("reason"),
+            F.lit(0.0).alias("tie"),
+        ),
+        F.struct(
+            F.lit("least").alias("kind"), "feature", F.col("emptiness").alias("measure"),
+            F.col("weakness").alias("reason"), F.coalesce(strength, F.lit(0.0)).alias("tie"),
+        ),
+    ))).filter((F.col("kind") == "least") | F.col("measure").isNotNull())
     # One row per table column and kind, so the windows stay small.
     ranked = Window.partitionBy("kind").orderBy(F.col("measure").desc(), "tie", "feature")
     result = (
-        most.unionByName(least)
-        .withColumn("position", F.row_number().over(ranked))
+        both.withColumn("position", F.row_number().over(ranked))
         .filter(F.col("position") <= k)
         .drop("tie")
     )

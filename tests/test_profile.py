@@ -170,6 +170,16 @@ def test_relevance_reasons(spark):
     assert least["unique_text"] == "nearly unique" and "id" in least
 
 
+def test_relevance_scans_once_for_both_kinds(spark):
+    df = spark.range(30).selectExpr("id", "id AS member_id", "cast(id % 2 AS int) AS default_ind", "id % 5 AS x", "'a' AS t")
+    for exact, scans in ((False, 1), (True, 2)):  # distinct counts are a second pass
+        found = relevance.feature_relevance(df, LOANS, k=3, exact=exact)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == scans
+        assert [r.feature for r in found.filter("kind = 'most'").collect()] == ["x"]
+        assert {r.feature for r in found.filter("kind = 'least'").collect()} == {"t", "id", "member_id"}
+
+
+
 def test_funnel_shares(spark):
     df = spark.range(10)
     out = rows(profile.cleaning_funnel([("all", df), ("even", df.filter("id % 2 = 0"))]))
