@@ -42,7 +42,9 @@ TOKENS, TEXTS = np.uint64(0), np.uint64(2)
 ONE = np.uint64(1)
 
 #: Tokens of a stretch that is read side by side with others, and bytes of text that are read with one automaton.
-STRETCH, SLICE = 512, 1 << 22
+STRETCH, SLICE = 512, 1 << 21
+#: Ranges of keys that a block's n-grams are merged in.
+RANGES = 32
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -92,35 +94,46 @@ class Grams:
 
 def question(table: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-grams of a block's texts in order, and how often its training texts hold each."""
-    found, tokens, texts = [[] for _ in range(order)], 0, 0
+    found, tokens, texts = [], 0, 0
     for batch in table.to_batches():
         for part in slices(batch, "text"):
             hashes, at = token_hashes(part.column("text"))
             learnt = np.asarray(part.column("train"))
             train = np.repeat(learnt, np.diff(at))
             tokens, texts = tokens + int(train.sum()), texts + int(learnt.sum())
-            for n, grams in enumerate(ngrams(hashes, at, order)):
-                found[n].append(_counted(grams[train & (grams != 0)]))
+            for grams in ngrams(hashes, at, order):
+                found.append(_counted(grams[train & (grams != 0)]))
                 others = np.unique(grams[~train & (grams != 0)])
-                found[n].append((others, np.zeros(len(others), np.int64)))
-    parts = [(np.array([TOKENS, TEXTS]), np.array([tokens, texts]))]
-    for n in range(order):
-        parts.append(_merged(found[n]))
-        found[n] = []
-    return _merged(parts)
+                found.append((others, np.zeros(len(others), np.int32)))
+    found.append((np.array([TOKENS, TEXTS]), np.array([tokens, texts], np.int32)))
+    return _merged(found)
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tallies.counted(keys) if len(keys) else (keys, np.zeros(0, np.int64))
+    keys, counts = tallies.counted(keys) if len(keys) else (keys, keys)
+    return keys, counts.astype(np.int32)
 
 
 def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, their counts added up."""
-    keys = np.concatenate([k for k, _ in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], np.concatenate([c for _, c in parts])[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ ONE))
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    """Distinct keys in order, their counts added up, from parts in order.
+
+    Ranges of keys are merged one after the other, so that no more than one of them is held several times.
+    """
+    size = sum(len(keys) for keys, _ in parts)
+    every, sums, made = np.empty(size, np.uint64), np.empty(size, np.int32), 0
+    edges = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 64) // RANGES)
+    cuts = [[0, *np.searchsorted(keys, edges), len(keys)] for keys, _ in parts]
+    for n in range(RANGES):
+        keys = np.concatenate([k[at[n] : at[n + 1]] for (k, _), at in zip(parts, cuts)])
+        if not len(keys):
+            continue
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], np.concatenate([c[at[n] : at[n + 1]] for (_, c), at in zip(parts, cuts)])[order]
+        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ ONE))
+        every[made : made + len(first)] = keys[first]
+        sums[made : made + len(first)] = np.add.reduceat(counts, first)
+        made += len(first)
+    return every[:made], sums[:made]
 
 
 class Automaton:
@@ -224,8 +237,7 @@ def _first(code: np.ndarray, size: int) -> np.ndarray:
 def _questions(order: int, chunk: int, parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in chunks(batches, chunk):
-            keys, counts = question(table, order)
-            yield from tallies.question(table.column("task")[0].as_py(), number, keys, counts, parts)
+            yield from tallies.question(table.column("task")[0].as_py(), number, *question(table, order), parts)
 
     return ask
 
@@ -258,7 +270,7 @@ def _scored(order: int, backoff: float, types: int, parts: int):
         if not blocks.num_rows:
             return SCORED.empty_table()
         table = pa.ipc.open_stream(zstandard.decompress(blocks["block"][0].as_py())).read_all()
-        asked, _ = question(table, order)
+        asked = question(table, order)[0]
         totals, _ = tallies.answer(answers, asked, parts)
         tokens, texts = int(totals[0]), int(totals[1])
         out = []

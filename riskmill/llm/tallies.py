@@ -128,5 +128,8 @@ def answer(told: pa.Table, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np
         zlib.crc32(pack_keys(keys[a:b])) != d for a, b, d in zip(cuts, cuts[1:], rows["digest"].to_pylist())
     ):
         raise ValueError("a block has other keys than it asked for")
-    both = np.concatenate([np.zeros(0, np.int64), *map(wide, rows["totals"].to_pylist())])
-    return both >> 1, (both & 1).astype(bool)
+    totals, owned = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    for a, b, data in zip(cuts, cuts[1:], rows["totals"]):
+        both = wide(data.as_py())
+        totals[a:b], owned[a:b] = both >> 1, both & 1
+    return totals, owned

@@ -71,8 +71,10 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int, column: str = "text") -
             held.append(part)
             held_bytes += part.column(column).nbytes
             if held_bytes >= size:
-                yield number, pa.Table.from_batches(held).combine_chunks()
-                held, held_bytes, number = [], 0, number + 1
+                table = pa.Table.from_batches(held).combine_chunks()
+                held, held_bytes = [], 0
+                yield number, table
+                number += 1
     if held:
         yield number, pa.Table.from_batches(held).combine_chunks()
 

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -287,6 +288,20 @@ def test_chances_after_any_history_sum_to_one(order):
     assert len(reached) > 4
 
 
+def test_a_block_asks_in_little_more_memory_than_its_question():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, 400))) for _ in range(2000)]  # nearly all n-grams are distinct
+    table = pa.table({"text": pa.array(texts), "train": pa.array([i % 7 > 0 for i in range(2000)])})
+    lm.question(table.slice(0, 1), 3)
+    tracemalloc.start()
+    keys, counts = lm.question(table, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(keys) == len(counts) > 2_000_000 and (np.diff(keys) > 0).all()
+    assert counts.sum() == 4 * 401 * sum(table["train"].to_pylist())
+    assert peak < 40 * len(keys)
+
+
 def test_language_model_of_nothing(empty):
     assert lm.lm_scores(empty, "doc_id", "text", F.lit(True)).collect() == []
 
