@@ -19,22 +19,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskmill.llm import mixing, packing, shingles
 from riskmill.llm.quality import quality_score
 from riskmill.llm.queries import quality_model, toxicity_model
-from riskmill.llm.store import shared_folder
+from riskmill.llm.store import shared_folder, small_batches
 from riskmill.llm.toxicity import toxicity_score
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
+    small_batches(spark)
     return docs.filter(toxicity_score(toxicity_model(spark, sf_dir, docs), F.col("text")) < 0.5)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of good quality."""
+    small_batches(spark)
     return docs.filter(quality_score(quality_model(spark, sf_dir, docs), F.col("text")) >= 0.7)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that the n-gram Jaccard join links."""
+    small_batches(spark)
     mark = "mark"
     while mark in docs.columns:
         mark += "_"
@@ -54,6 +57,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their places in sequences of at most 2048 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs, "doc_id", "text", packing.tokenizer_path("byte_bpe_50k.json"))
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskmill.llm.ranks import ranked
 from riskmill.llm.store import release, stored
-from riskmill.llm.text import slices
+from riskmill.llm.text import PART, slices
 
 #: Words of a byte-level pre-tokenizer with `use_regex`, a fixed value of the file format, in letters that `re` knows.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
@@ -135,7 +135,7 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
         try:
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", PART):
                     rows = []
                     texts = [text or "" for text in part.column("text").to_pylist()]
                     for key, data in zip(part.column("id").to_pylist(), encoder(path).encode(texts)):

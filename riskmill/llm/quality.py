@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
-from riskmill.llm.text import SLICE, WHITE, Words, joined, slices
+from riskmill.llm.text import PART, WHITE, Words, joined, slices
 
 
 def _bytes_in(text: str) -> np.ndarray:
@@ -168,7 +168,7 @@ def fit_trees(
 
 def _sliced(texts: pa.Array, function) -> np.ndarray:
     return np.concatenate(
-        [function(part.column(0)) for part in slices(pa.record_batch([texts], ["text"]), "text", SLICE // 4)]
+        [function(part.column(0)) for part in slices(pa.record_batch([texts], ["text"]), "text", PART)]
     )
 
 

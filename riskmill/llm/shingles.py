@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskmill.llm.components import components
 from riskmill.llm.store import stored
-from riskmill.llm.text import Words, joined, mixed, slices
+from riskmill.llm.text import PART, Words, joined, mixed, slices
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -113,7 +113,7 @@ def class_of(elements: np.ndarray) -> int:
 def _sizes(n: int):
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 sets = shingle_sets(part.column("text"), n)
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -144,7 +144,7 @@ def _segments(n: int, percent: int, ranges: int):
 
         keys, classes, held, seen = [], [], 0, set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 for s in shingle_sets(part.column("text"), n):
                     if not len(s) or (c := class_of(s)) in seen or not len(k := schemes.keys(s)):
                         continue
@@ -221,9 +221,9 @@ def _merged(groups: DataFrame) -> DataFrame:
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        data = [pack.compress(t.as_py() or b"") for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(data, pa.binary())], ["id", "data"])
+        for part in slices(batch, "text", PART):
+            data = [pack.compress(t.as_py() or b"") for t in part.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(data, pa.binary())], ["id", "data"])
 
 
 class PrefixTree:

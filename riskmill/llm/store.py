@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = 1000
+
 
 def _path(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
@@ -29,6 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts reach Python by at most `BATCH_ROWS` rows, so that neither the JVM nor a worker holds a whole split of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the shared folder, so that a lost executor costs nothing
     of what led to them."""

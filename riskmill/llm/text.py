@@ -23,8 +23,10 @@ NOT_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-#: Bytes of text that are worked on at once.
-SLICE = 1 << 21
+#: Bytes of text that are worked on at once, and fewer where workers go on with other stages and keep what they touched.
+SLICE, PART = 1 << 21, 1 << 19
+#: Powers that are added at a time.
+STEP = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,7 +48,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least n powers of the base and of its inverse, kept for the next call."""
     if len(_powers[0]) < n:
         for k, base in enumerate((BASE, INVERSE)):
-            steps = np.full(max(n, SLICE), base, np.uint64)
+            steps = np.full(-(-n // STEP) * STEP, base, np.uint64)
             steps[0] = 1
             _powers[k] = np.cumprod(steps, dtype=np.uint64)
     return _powers[0], _powers[1]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from riskmill.llm.store import stored
-from riskmill.llm.text import NOT_WORD, SLICE, Words, joined, slices
+from riskmill.llm.text import NOT_WORD, PART, Words, joined, slices
 
 #: Terms that name groups of people; within a row each can stand for any other.
 IDENTITY_TERMS = (
@@ -46,8 +46,6 @@ IDENTITY_TERMS = (
 
 #: Lengths in bytes of the beginnings that are features of longer words.
 PREFIXES = (4, 5, 6)
-#: Bytes of text whose features are held at once.
-PART = SLICE // 4
 SENTENCE_END = np.zeros(256, bool)
 SENTENCE_END[[0x0A, 0x21, 0x2E, 0x3F]] = True
 

@@ -1,5 +1,8 @@
 """The stages at their own parameters, with repeated ids, NULLs, clashing names and empty tables."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +84,25 @@ def test_packing_holds_every_document(spark, sf, texts):
     assert len(got) == 9 and {r.n for r in got if r.doc_id is None} == {1}
 
 
+def test_stages_hand_few_rows_to_python_at_once(spark, sf, texts):
+    docs = frame(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for stage in ("toxicity", "quality classifier", "n-gram jaccard join", "best-fit packing"):
+        spark.conf.set(name, "10000")
+        STAGES[stage](spark, docs, sf)
+        assert int(spark.conf.get(name)) <= 1000, stage
+        spark.conf.set(name, "10")
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(name) == "10"
+    spark.conf.unset(name)
+
+
+def test_short_texts_keep_few_powers():
+    code = "from riskmill.llm import text; import pyarrow as pa; text.Words(pa.array(['a b'])).hashes(); print(len(text._powers[0]))"
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+    assert int(told.stdout) <= 1 << 18
+
+
 def test_stages_of_nothing(spark, sf):
     none = spark.createDataFrame([], COLUMNS)
     for name, stage in corpus_pipeline.STAGES:
