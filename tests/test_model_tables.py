@@ -1,11 +1,15 @@
 """Models as tables give the scores and importances of the fitted models; searches equal a plain evaluation."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from riskmill.operators import clean, curves, encode, model_tables, models, split
+from riskmill.plans import queries
+from riskmill.session import shared_folder
 from riskmill.spec import LOANS
 
 
@@ -157,3 +161,12 @@ def test_large_searches_hold_fewer_copies_at_once():
 def test_linear_fits_have_bounded_partitions():
     assert [models._partitions("logistic", n) for n in (0, 100_000, 10**9)] == [1, 6, 512]
     assert [models._partitions("forest", n) for n in (0, 100_000, 20_000_000)] == [1, 6, 1001]
+
+
+@pytest.mark.parametrize("name", ["score_forest", "forest_importance"])
+def test_a_forest_by_rule_stores_no_model_rows(spark, sf, name):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    rows = queries.registered()[name](spark, sf).count()
+    kept = [f for new in set(folder.iterdir()) - before for f in new.rglob("*") if f.is_file()]
+    assert rows > 0 and 0 < sum(f.stat().st_size for f in kept) < 100_000  # means, cells and nodes; the rows take 500 KB
