@@ -6,7 +6,7 @@ expression, each category by a join of its levels. Rows neither multiply nor mov
 enough to broadcast, which Spark decides by their size.
 
 A forest is a table of nodes (tree, node, slot, threshold, left, right, value, gain, share). Rows walk down level
-by level, by a join with the nodes where they stand.
+by level, by a join with the nodes where they stand; rows that need no grouping walk in place.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskmill.operators.encode import feature_names
 from riskmill.session import scratch_path, sized
@@ -105,13 +105,19 @@ def tree_nodes(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def tree_margins(df: DataFrame, nodes: DataFrame, key: Sequence[str], values: str, levels: int) -> DataFrame:
+def tree_margins(
+    df: DataFrame, nodes: DataFrame, key: Sequence[str], values: str, levels: int, grouped: bool = True
+) -> DataFrame:
     """Per key: the weighted sum of the leaves that a row reaches, and the sum of the trees' weights.
 
+    grouped=False: per row, whatever its key, with nothing shuffled, sorted or spilled.
+
     values: an array column, by slot. levels: of the deepest tree. A leaf has a slot of -1. The nodes are sent to
     every task: a row becomes one per tree, so estimates of either side say little, and shuffling that side for every
     level would cost more than any forest that was fitted.
     """
+    if not grouped:
+        return _row_margins(df, nodes, key, values, levels)
     fields = ["tree", "node", "slot", "threshold", "left", "right", "value", "weight"]
     roots = nodes.filter(F.col("node") == 0).agg(F.collect_list(F.struct(*fields))).scalar()  # one per tree
     at = df.select(*key, F.col(values).alias("_values"), F.explode(roots).alias("_root")).select(*key, "_values", "_root.*")
@@ -135,6 +141,43 @@ def tree_margins(df: DataFrame, nodes: DataFrame, key: Sequence[str], values: st
     )
 
 
+def _row_margins(df: DataFrame, nodes: DataFrame, key: Sequence[str], values: str, levels: int) -> DataFrame:
+    """As `tree_margins`, for every row by itself: each tree is an array of its nodes, in which children have places."""
+    places = nodes.select(
+        "tree", "node", (F.row_number().over(Window.partitionBy("tree").orderBy("node")) - 1).alias("place")
+    )
+    placed = nodes.join(places, ["tree", "node"])
+    for side in ("left", "right"):
+        child = places.select("tree", F.col("node").alias(side), F.col("place").alias(f"{side}_place"))
+        placed = placed.join(child, ["tree", side], "left")
+    node = F.struct("place", "node", "slot", "threshold", "left_place", "right_place", "value", "weight")
+    trees = placed.groupBy("tree").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+    forest = trees.filter(F.col("nodes")[0]["node"] == 0).agg(F.collect_list("nodes")).scalar()
+
+    def leaf(tree):
+        # A step to a node that is not there gives NULL, and the tree does not count, as in a join.
+        return F.aggregate(F.array_repeat(F.lit(0), levels), F.get(tree, F.lit(0)), lambda at, _: F.when(
+            at["slot"] < 0, at
+        ).when(
+            F.get("_values", at["slot"]) <= at["threshold"], F.get(tree, at["left_place"])
+        ).otherwise(F.get(tree, at["right_place"])))
+
+    def plus(total, x):
+        return F.when(x.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + x)
+
+    nothing, one = F.lit(None).cast("double"), F.lit(1)
+    start = F.struct(nothing.alias("margin"), nothing.alias("weights"), F.lit(0).alias("trees"))
+    total = F.aggregate(F.transform("_forest", leaf), start, lambda sums, at: F.when(at.isNull(), sums).otherwise(F.struct(
+        plus(sums["margin"], at["value"] * at["weight"]).alias("margin"),
+        plus(sums["weights"], at["weight"].cast("double")).alias("weights"), (sums["trees"] + one).alias("trees"),
+    )))
+    # Both through an array of one: else Spark would write the numbers of a row into every step, and walk again to filter.
+    rows = df.select(*key, F.explode_outer(F.array(values)).alias("_values"))
+    sums = rows.select(*key, "_values", forest.alias("_forest")).select(*key, total.alias("_total"))
+    sums = sums.select(*key, F.explode_outer(F.array("_total")).alias("_sums")).filter("_sums.trees > 0")
+    return sums.select(*key, "_sums.margin", "_sums.weights")
+
+
 def forest_scores(margins: DataFrame, target: str = "score") -> DataFrame:
     """The mean share of class 1 over the trees."""
     return margins.withColumn(target, F.col("margin") / F.col("weights")).drop("margin", "weights")

@@ -170,3 +170,42 @@ def test_a_forest_by_rule_stores_no_model_rows(spark, sf, name):
     rows = queries.registered()[name](spark, sf).count()
     kept = [f for new in set(folder.iterdir()) - before for f in new.rglob("*") if f.is_file()]
     assert rows > 0 and 0 < sum(f.stat().st_size for f in kept) < 100_000  # means, cells and nodes; the rows take 500 KB
+
+
+def test_rows_walk_in_place_without_a_shuffle(spark):
+    schema = "tree int, node int, slot int, threshold double, left int, right int, value double, weight double"
+    nodes = spark.createDataFrame([
+        (0, 0, 0, 0.5, 4, 9, 0.0, 2.0), (0, 4, -1, None, -1, -1, 1.0, 2.0), (0, 9, 1, 3.0, 10, 11, 0.0, 2.0),
+        (0, 10, -1, None, -1, -1, 5.0, 2.0), (0, 11, -1, None, -1, -1, None, 2.0),
+        (1, 0, 1, 1.0, 1, 2, 0.0, 1.0), (1, 1, -1, None, -1, -1, 7.0, 1.0),  # its right child is missing
+        (2, 3, -1, None, -1, -1, 100.0, 1.0),  # no root
+        (7, 0, -1, None, -1, -1, 0.25, 4.0),
+    ], schema)
+    values = [(0.0, 0.0), (1.0, 2.0), (1.0, 4.0), (None, 1.0), (0.5, None), (None, None), (float("nan"), 1.0)]
+    rows = spark.createDataFrame([(i, list(v)) for i, v in enumerate(values)], "id long, values array<double>")
+    want = {tuple(r) for r in model_tables.tree_margins(rows, nodes, ["id"], "values", 2).collect()}
+    alone = model_tables.tree_margins(rows, nodes, ["id"], "values", 2, grouped=False)
+    assert {tuple(r) for r in alone.collect()} == want and len(want) == len(values)
+    few = nodes.filter("tree in (1, 2)")  # rows that no tree takes are left out
+    got = model_tables.tree_margins(rows, few, ["id"], "values", 2, grouped=False).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(0, 7.0, 1.0), (3, 7.0, 1.0), (6, 7.0, 1.0)]
+    assert model_tables.tree_margins(rows, nodes.limit(0), ["id"], "values", 2, grouped=False).count() == 0
+    twice = model_tables.tree_margins(rows.union(rows), nodes, ["id"], "values", 2, grouped=False)
+    assert twice.count() == 2 * len(values)  # a key may repeat
+    assert steps_of_rows(alone) <= {"Project", "Filter", "Generate", "Scan ExistingRDD", "RDDScan"}
+
+
+def steps_of_rows(df):
+    """Names of the steps that the rows go through, those of subqueries left out."""
+    found, plans = set(), [df._jdf.queryExecution().sparkPlan()]
+    while plans:
+        plan = plans.pop()
+        found.add(plan.nodeName().strip())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_the_forest_by_rule_moves_no_scored_rows(spark, sf):
+    steps = steps_of_rows(queries.registered()["score_forest"](spark, sf))
+    assert not [name for name in steps if "Aggregate" in name or "Join" in name or "Sort" in name], steps
