@@ -622,3 +622,38 @@ def test_mixed_documents_keep_their_columns(spark):
     mix = mixing.mixed_documents(frame, "doc_id", "source", mixing.word_count(F.col("text")), mixing.text_quality(F.col("text")))
     assert mix.columns == frame.columns
     assert {tuple(r) for r in mix.collect()} == {tuple(r) for r in rows}
+
+
+def test_top_k_never_broadcasts_the_copies_of_queries(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(300)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    found = topk.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 50 == 0, block=32, query_block=2)
+    assert len(found.collect()) == 6 * 5
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("sizes", [(0, 0), (300, 6), (51_282, 1_026), (615_384, 12_308), (2_000, 2_000), (5, 0)])
+def test_top_k_sends_no_copy_to_cells_without_blocks(sizes):
+    n, m = sizes
+    for cells in (1, 12, 600):
+        rows, columns = topk._grid(n, m, 2048, 512, cells)
+        assert rows >= 1 and columns >= 1 and rows * columns <= cells
+        assert rows <= max(1, -(-n // 2048)) and columns <= max(1, -(-m // 512))
+    # Copies of queries, a row for each cell before: 600 of each at 600 cells.
+    assert topk._grid(615_384, 12_308, 2048, 512, 600) == (150, 4)
+
+
+@pytest.mark.parametrize("least", [1e-3, 0.5, 1.0, 127 / 256, 200.0, 1e6, 1e13])
+def test_top_k_of_integers_of_every_size(spark, least):
+    rows = [(i, [least * (i + 1), -least * (i % 3), 0.25]) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.nearest(frame, "vec_id", "embedding", F.col("vec_id") == 3, scale=1.0 if least > 1e6 else 256.0, block=4)
+    scale = 1.0 if least > 1e6 else 256.0
+    v = {i: [math.floor(scale * x) for x in e] for i, e in rows}
+    want = sorted((-sum(a * b for a, b in zip(v[3], v[i])), i) for i in v if i != 3)[:5]
+    if abs(want[0][0]) >= 2**63:
+        with pytest.raises(Exception, match="does not fit a long"):
+            found.collect()
+    else:
+        assert sorted((r["rank"], r.vec_id, r.score) for r in found.collect()) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
