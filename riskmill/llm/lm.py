@@ -97,18 +97,26 @@ def question(table: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
     found, tokens, texts = [], 0, 0
     for batch in table.to_batches():
         for part in slices(batch, "text"):
-            hashes, at = token_hashes(part.column("text"))
-            learnt = np.asarray(part.column("train"))
-            train = np.repeat(learnt, np.diff(at))
-            tokens, texts = tokens + int(train.sum()), texts + int(learnt.sum())
-            for grams in ngrams(hashes, at, order):
-                found.append(_counted(grams[train & (grams != 0)]))
-                others = np.unique(grams[~train & (grams != 0)])
-                found.append((others, np.zeros(len(others), np.int32)))
+            grams, learnt_tokens, learnt_texts = _held(part, order)
+            found += grams
+            tokens, texts = tokens + learnt_tokens, texts + learnt_texts
     found.append((np.array([TOKENS, TEXTS]), np.array([tokens, texts], np.int32)))
     return _merged(found)
 
 
+def _held(part: pa.RecordBatch, order: int) -> tuple[list, int, int]:
+    """The n-grams of a slice with their counts; its tokens and texts in training. All else that it takes goes with it."""
+    hashes, at = token_hashes(part.column("text"))
+    learnt = np.asarray(part.column("train"))
+    train = np.repeat(learnt, np.diff(at))
+    found = []
+    for grams in ngrams(hashes, at, order):
+        found.append(_counted(grams[train & (grams != 0)]))
+        others = np.unique(grams[~train & (grams != 0)])
+        found.append((others, np.zeros(len(others), np.int32)))
+    return found, int(train.sum()), int(learnt.sum())
+
+
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = tallies.counted(keys) if len(keys) else (keys, keys)
     return keys, counts.astype(np.int32)
